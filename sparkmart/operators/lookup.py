@@ -1,0 +1,147 @@
+"""Left outer lookup of a dimension, whatever its size and however skewed the keys.
+
+The dimension is measured first. Within the bound it is broadcast, and the fact
+rows are not shuffled at all. Beyond it both sides are shuffled on the key, and
+the keys that hold more fact rows than one task should are spread over several
+slots, with the dimension's rows of just these keys repeated once per slot.
+Either way gives the same rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+ROWS_PER_TASK = 5_000_000
+# The hot-key sketch: keys reported, and counters it holds to find them.
+HOT_KEYS = 10_000
+HOT_COUNTERS = 100_000
+
+_ROW_OVERHEAD = 64
+_FIXED_WIDTH = 16
+
+
+class DuplicateKeyError(ValueError):
+    """A table that must hold each key once holds one several times."""
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows, by one aggregate over them."""
+    sizes = [F.lit(_ROW_OVERHEAD)]
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + _FIXED_WIDTH)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(column))
+            sizes.append(F.coalesce(F.octet_length(text), F.lit(0)) + _FIXED_WIDTH)
+        else:
+            sizes.append(F.lit(_FIXED_WIDTH))
+    total = sizes[0]
+    for size in sizes[1:]:
+        total = total + size
+    return df.agg(F.sum(total.cast("bigint")).alias("bytes")).first()["bytes"] or 0
+
+
+def require_unique(df: DataFrame, keys: Sequence[str | Column]) -> None:
+    """Raise when a key occurs twice; NULL keys are not counted as they never match."""
+    named = [
+        (F.col(key) if isinstance(key, str) else key).alias(f"key_{i}")
+        for i, key in enumerate(keys)
+    ]
+    doubled = (
+        df.select(*named)
+        .dropna()
+        .groupBy(*[f"key_{i}" for i in range(len(named))])
+        .count()
+        .where("count > 1")
+        .take(1)
+    )
+    if doubled:
+        raise DuplicateKeyError(f"key occurs more than once: {doubled[0].asDict()}")
+
+
+def lookup(
+    fact: DataFrame,
+    dimension: DataFrame,
+    keys: Mapping[str, str],
+    take: Mapping[str, str],
+    *,
+    normalise: Callable[[Column], Column] = lambda key: key,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """All columns of ``fact`` plus columns of the matching dimension row.
+
+    ``keys`` maps fact columns to dimension columns, ``take`` maps new column
+    names to dimension columns, and ``normalise`` is put on both key sides. A fact
+    row without a match gets NULLs, one with several matches is repeated.
+    """
+    key_names = [f"_key_{i}" for i in range(len(keys))]
+    left = fact.select(
+        "*", *[normalise(F.col(c)).alias(k) for c, k in zip(keys, key_names)]
+    )
+    right = dimension.select(
+        *[normalise(F.col(c)).alias(k) for c, k in zip(keys.values(), key_names)],
+        *[F.col(source).alias(name) for name, source in take.items()],
+    )
+    if measured_bytes(right) <= broadcast_bytes:
+        joined = left.join(F.broadcast(right), key_names, "left")
+    else:
+        joined = _spread_join(left, right, key_names, rows_per_task)
+    return joined.select(*fact.columns, *take)
+
+
+def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> list[tuple]:
+    """(key hash, slots) of keys with more rows than a task should get.
+
+    One pass over the key columns with a mergeable frequent-items sketch; it gives
+    at most HOT_KEYS pairs. The counts only steer the spreading: the join is exact
+    for any list of hot keys, and the runtime's own skew splitting still serves
+    keys below the sketch's resolution.
+    """
+    hashes = left.select(F.xxhash64(*key_names).alias("key_hash"))
+    top = hashes.agg(
+        F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {HOT_COUNTERS})").alias("top")
+    ).first()["top"]
+    return [
+        (entry["item"], -(-entry["count"] // rows_per_task))
+        for entry in top or []
+        if entry["count"] > rows_per_task
+    ]
+
+
+def _spread_join(
+    left: DataFrame, right: DataFrame, key_names: list[str], rows_per_task: int
+) -> DataFrame:
+    hot = _hot_keys(left, key_names, rows_per_task)
+    if not hot:
+        return left.join(right, key_names, "left")
+    # At most HOT_KEYS short rows, so this side's broadcast is bounded.
+    slots = F.broadcast(
+        left.sparkSession.createDataFrame(hot, "_key_hash bigint, _slots bigint")
+    )
+
+    def with_slots(df: DataFrame) -> DataFrame:
+        hashed = df.withColumn("_key_hash", F.xxhash64(*key_names))
+        return hashed.join(slots, "_key_hash", "left").drop("_key_hash")
+
+    # A row's slot follows from its content and partition, so a task that runs
+    # again after a lost executor puts the row into the same slot.
+    row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
+    spread = with_slots(left).withColumn(
+        "_slot", F.coalesce(F.pmod(row_hash, F.col("_slots")), F.lit(0))
+    )
+    repeated = with_slots(right).withColumn(
+        "_slot",
+        F.explode(
+            F.sequence(F.lit(0).cast("bigint"), F.coalesce("_slots", F.lit(1)) - 1)
+        ),
+    )
+    return spread.drop("_slots").join(
+        repeated.drop("_slots"), [*key_names, "_slot"], "left"
+    )
