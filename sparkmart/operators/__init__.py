@@ -1,7 +1,7 @@
 """Table operators: lookups, cross rates, policies, contracts, registries."""
 
 from sparkmart.operators.contract import Contract, ContractColumn, ContractError, enforce
-from sparkmart.operators.lookup import DuplicateKeyError, lookup, require_unique
+from sparkmart.operators.lookups import DuplicateKeyError, lookup
 from sparkmart.operators.policy import (
     ColumnMask,
     Identity,
@@ -19,6 +19,7 @@ from sparkmart.operators.registry import (
     record_rules,
     update_columns,
     validate,
+    with_reasons,
 )
 
 __all__ = [
@@ -40,9 +41,9 @@ __all__ = [
     "new_records",
     "pivot_rates",
     "record_rules",
-    "require_unique",
     "secure",
     "tail_mask",
     "update_columns",
     "validate",
+    "with_reasons",
 ]

@@ -29,40 +29,35 @@ class DuplicateKeyError(ValueError):
     """A table that must hold each key once holds one several times."""
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of all rows, by one aggregate over them."""
-    sizes = [F.lit(_ROW_OVERHEAD)]
+def _row_bytes(df: DataFrame) -> Column:
+    """A row's size in memory, rounded up."""
+    sizes = [str(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.schema.fields))]
     for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + _FIXED_WIDTH)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            text = F.to_json(F.struct(column))
-            sizes.append(F.coalesce(F.octet_length(text), F.lit(0)) + _FIXED_WIDTH)
-        else:
-            sizes.append(F.lit(_FIXED_WIDTH))
-    total = sizes[0]
-    for size in sizes[1:]:
-        total = total + size
-    return df.agg(F.sum(total.cast("bigint")).alias("bytes")).first()["bytes"] or 0
-
-
-def require_unique(df: DataFrame, keys: Sequence[str | Column]) -> None:
-    """Raise when a key occurs twice; NULL keys are not counted as they never match."""
-    named = [
-        (F.col(key) if isinstance(key, str) else key).alias(f"key_{i}")
-        for i, key in enumerate(keys)
-    ]
-    doubled = (
-        df.select(*named)
-        .dropna()
-        .groupBy(*[f"key_{i}" for i in range(len(named))])
-        .count()
-        .where("count > 1")
-        .take(1)
+        column = f"`{field.name}`"
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = f"to_json(struct({column}))"
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        sizes.append(f"coalesce(octet_length({column}), 0)")
+    return F.expr(f"cast({' + '.join(sizes)} as bigint)")
+
+
+def _measure(df: DataFrame, key_names: Sequence[str], unique: bool) -> int:
+    """Bytes of all rows, by one aggregate over them that may check the keys too."""
+    if not unique:
+        return df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+    named = F.struct(*key_names)
+    complete = F.concat(*[F.col(name).cast("string") for name in key_names]).isNotNull()
+    per_key = df.groupBy(*key_names).agg(
+        F.sum(_row_bytes(df)).alias("bytes"), F.count("*").alias("rows")
     )
-    if doubled:
-        raise DuplicateKeyError(f"key occurs more than once: {doubled[0].asDict()}")
+    measured = per_key.agg(
+        F.sum("bytes").alias("bytes"),
+        F.max(F.when(complete & (F.col("rows") > 1), named)).alias("doubled"),
+    ).first()
+    if measured["doubled"] is not None:
+        raise DuplicateKeyError(f"key occurs more than once: {tuple(measured['doubled'])}")
+    return measured["bytes"] or 0
 
 
 def lookup(
@@ -72,6 +67,7 @@ def lookup(
     take: Mapping[str, str],
     *,
     normalise: Callable[[Column], Column] = lambda key: key,
+    unique: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -79,7 +75,8 @@ def lookup(
 
     ``keys`` maps fact columns to dimension columns, ``take`` maps new column
     names to dimension columns, and ``normalise`` is put on both key sides. A fact
-    row without a match gets NULLs, one with several matches is repeated.
+    row without a match gets NULLs, one with several matches is repeated; with
+    ``unique`` a dimension that holds a key twice is refused.
     """
     key_names = [f"_key_{i}" for i in range(len(keys))]
     left = fact.select(
@@ -89,7 +86,7 @@ def lookup(
         *[normalise(F.col(c)).alias(k) for c, k in zip(keys.values(), key_names)],
         *[F.col(source).alias(name) for name, source in take.items()],
     )
-    if measured_bytes(right) <= broadcast_bytes:
+    if _measure(right, key_names, unique) <= broadcast_bytes:
         joined = left.join(F.broadcast(right), key_names, "left")
     else:
         joined = _spread_join(left, right, key_names, rows_per_task)

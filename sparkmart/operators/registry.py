@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookup import lookup
+from sparkmart.operators.lookups import lookup
 
 # Patterns, length bounds and flags of a data-product record.
 NAME_PATTERN = r"^[a-z0-9_]+\z"
@@ -34,25 +34,32 @@ def record_rules() -> dict[str, Column]:
     }
 
 
+def with_reasons(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows with an array ``reasons`` of the conditions they fail; none for a good row.
+
+    A condition that comes out NULL is not met.
+    """
+    rules = record_rules() if rules is None else rules
+    failed = [
+        F.when(~F.coalesce(condition, F.lit(False)), F.lit(reason))
+        for reason, condition in rules.items()
+    ]
+    return df.withColumn("reasons", F.array_compact(F.array(*failed)))
+
+
 def validate(
     df: DataFrame, rules: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Split rows into good ones and rejected ones with an array of ``reasons``.
+    """Split rows into good ones and rejected ones with their ``reasons``.
 
-    A condition that comes out NULL is not met.
+    The good rows are plain filters, one per condition, so a condition on a stored
+    column reaches the scan.
     """
     rules = record_rules() if rules is None else rules
-    reasons = F.array_compact(
-        F.array(
-            *[
-                F.when(~F.coalesce(condition, F.lit(False)), F.lit(reason))
-                for reason, condition in rules.items()
-            ]
-        )
-    )
-    checked = df.withColumn("reasons", reasons)
-    good = F.size("reasons") == 0
-    return checked.where(good).drop("reasons"), checked.where(~good)
+    valid = df
+    for condition in rules.values():
+        valid = valid.where(condition)
+    return valid, with_reasons(df, rules).where(F.size("reasons") > 0)
 
 
 def new_records(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:

@@ -263,7 +263,7 @@ class Product:
             rows = enforce(rows, model.contract)
         properties = {f"meta.{tag}": value for tag, value in model.meta.items()}
         if model.description:
-            properties["comment"] = model.description
+            properties["description"] = model.description
         if model.materialized == "table":
             return self._store(rows, model.relation, properties)
         if isinstance(model.body, str):

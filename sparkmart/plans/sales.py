@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions import money, month_number, recode, year_number
-from sparkmart.operators.lookup import lookup, require_unique
+from sparkmart.operators.lookups import lookup
 
 # Country codes replaced in staging.
 COUNTRY_CODES = {"UK": "GB"}
@@ -59,9 +59,7 @@ def convert(
     quotes = rates.where(F.upper("quote_cur") == to.upper()).select(
         "base_cur", F.col("rate").cast("double").alias("rate")
     )
-    if on_duplicate == "error":
-        require_unique(quotes, [F.upper("base_cur")])
-    elif on_duplicate != "repeat":
+    if on_duplicate not in ("repeat", "error"):
         raise ValueError(f"on_duplicate is 'repeat' or 'error', not {on_duplicate!r}")
     quoted = lookup(
         staged,
@@ -69,6 +67,7 @@ def convert(
         {"currency": "base_cur"},
         {"_rate": "rate"},
         normalise=F.upper,
+        unique=on_duplicate == "error",
         **lookup_options,
     )
     rate = F.coalesce("_rate", F.lit(default_rate))

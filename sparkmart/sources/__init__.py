@@ -7,7 +7,7 @@ from sparkmart.sources.documents import (
     to_documents,
     write_documents,
 )
-from sparkmart.sources.raw import land_raw, read_raw
+from sparkmart.sources.raw import land_raw, parse_raw, read_raw
 from sparkmart.sources.schemas import struct_from_json_schema
 from sparkmart.sources.tables import SourceTable, full_refresh, write_parquet
 
@@ -16,6 +16,7 @@ __all__ = [
     "explode_documents",
     "full_refresh",
     "land_raw",
+    "parse_raw",
     "read_delimited",
     "read_documents",
     "read_raw",

@@ -25,21 +25,33 @@ def land_raw(df: DataFrame) -> DataFrame:
     )
 
 
+def parse_raw(raw: DataFrame, schema: T.StructType, payload: str = PAYLOAD) -> DataFrame:
+    """The raw columns, the typed columns, and ``fits``: whether the record is sound.
+
+    A record does not fit when its text is missing, empty, no JSON object, or holds
+    a value of another type; the typed columns of such a row mean nothing.
+    """
+    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    record = F.from_json(payload, with_bad, {"columnNameOfCorruptRecord": _BAD})
+    sound = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
+    # Exploding a one-element array keeps the parser below later filters, which
+    # would else repeat it for every condition that reads the record.
+    return raw.select("*", F.explode(F.array(record)).alias("_record")).select(
+        *raw.columns,
+        *[F.col("_record").getField(name).alias(name) for name in schema.names],
+        sound.alias("fits"),
+    )
+
+
 def read_raw(
     raw: DataFrame, schema: T.StructType, payload: str = PAYLOAD
 ) -> tuple[DataFrame, DataFrame]:
     """Split raw records into typed rows and a quarantine of those that do not fit.
 
-    The quarantine keeps the raw columns whole. A record is quarantined when its
-    text is missing, empty, no JSON object, or holds a value of another type.
+    The quarantine keeps the raw columns whole. Each of the two parses the records
+    once; whoever needs both from one pass takes ``parse_raw``.
     """
-    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    parsed = raw.withColumn(
-        "_record",
-        F.from_json(payload, with_bad, {"columnNameOfCorruptRecord": _BAD}),
-    )
-    fits = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
-    typed = parsed.where(fits).select(
-        *[F.col("_record").getField(name).alias(name) for name in schema.names]
+    parsed = parse_raw(raw, schema, payload)
+    return parsed.where("fits").select(*schema.names), parsed.where("not fits").select(
+        *raw.columns
     )
-    return typed, parsed.where(~fits).drop("_record")

@@ -32,7 +32,7 @@ def sales_product(spark: SparkSession, sf_dir: str, schema: str) -> Product:
 
     @product.model("fct_sales", refs=["stg_sales", "exchange_rates"])
     def fact(ctx):
-        return convert(ctx.ref("stg_sales"), ctx.ref("exchange_rates"), on_duplicate="error")
+        return convert(ctx.ref("stg_sales"), ctx.ref("exchange_rates"))
 
     @product.model("stg_sales", refs=["countries"])
     def staged(ctx):

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.operators import insert_absent, list_keys, new_records, update_columns, validate
+from sparkmart.operators import (
+    insert_absent,
+    list_keys,
+    new_records,
+    update_columns,
+    validate,
+    with_reasons,
+)
 from sparkmart.sources import read_documents, write_documents
 from sparkmart.workload.tables import SCHEMAS, load
 from sparkmart.workspace import fresh_folder
@@ -30,11 +37,15 @@ def candidate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Good records with no reasons and rejected ones with theirs."""
-    valid, rejected = validate(candidate_records(spark, sf_dir))
-    return valid.select("doc_id", "name", F.lit("").alias("reasons")).union(
-        rejected.select("doc_id", "name", F.concat_ws(",", "reasons"))
-    )
+    """Every record with the reasons against it, none for a good one."""
+    checked = with_reasons(candidate_records(spark, sf_dir))
+    return checked.select("doc_id", "name", F.concat_ws(",", "reasons").alias("reasons"))
+
+
+def registry_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good records only, with their flags set to false."""
+    valid, _ = validate(candidate_records(spark, sf_dir))
+    return new_records(valid.select("doc_id", "name", "description"))
 
 
 def registry_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +108,7 @@ def registry_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "registry_validate": registry_validate,
+    "registry_valid": registry_valid,
     "registry_insert_absent": registry_insert_absent,
     "registry_update": registry_update,
     "registry_update_unknown": registry_update_unknown,
@@ -104,28 +116,37 @@ QUERIES = {
     "registry_document": registry_document,
 }
 
+_CHECKED = r"""
+with records as (
+    select doc_id, source || '_' || doc_id as name, text as description,
+           case lang when 'es' then upper(source) else source end as domain,
+           case lang when 'en' then [source || '@' || lang || '.org']
+                     when 'de' then [source || '@' || lang || '.org', source || '@' || lang]
+                     when 'fr' then []
+                     else [source || '@' || lang || '.org', source || '@' || lang || '.org']
+           end as admin_emails
+    from documents
+), checked as (
+    select doc_id, name, description, concat_ws(',',
+        case when not regexp_full_match(domain, '[a-z0-9_]+') then 'domain' end,
+        case when not regexp_full_match(name, '[a-z0-9_]+') then 'name' end,
+        case when length(description) not between 10 and 200 then 'description' end,
+        case when len(admin_emails) < 1 then 'admin_emails_empty' end,
+        case when len(list_filter(admin_emails, lambda e: not regexp_full_match(e,
+             '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}'))) > 0
+             then 'admin_emails' end) as reasons
+    from records
+)
+"""
+
 ORACLES = {
-    "registry_validate": r"""
-        with records as (
-            select doc_id, source || '_' || doc_id as name, text as description,
-                   case lang when 'es' then upper(source) else source end as domain,
-                   case lang when 'en' then [source || '@' || lang || '.org']
-                             when 'de' then [source || '@' || lang || '.org',
-                                             source || '@' || lang]
-                             when 'fr' then []
-                             else [source || '@' || lang || '.org',
-                                   source || '@' || lang || '.org'] end as admin_emails
-            from documents
-        )
-        select doc_id, name, concat_ws(',',
-            case when not regexp_full_match(domain, '[a-z0-9_]+') then 'domain' end,
-            case when not regexp_full_match(name, '[a-z0-9_]+') then 'name' end,
-            case when length(description) not between 10 and 200 then 'description' end,
-            case when len(admin_emails) < 1 then 'admin_emails_empty' end,
-            case when len(list_filter(admin_emails, lambda e: not regexp_full_match(e,
-                 '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}'))) > 0
-                 then 'admin_emails' end) as reasons
-        from records
+    "registry_validate": f"{_CHECKED} select doc_id, name, reasons from checked",
+    "registry_valid": f"""
+        {_CHECKED}
+        select doc_id, name, description, false as code_repository, false as keycloak_group,
+               false as keycloak_domain_group, false as keycloak_product_group,
+               false as trino_dev_catalog, false as trino_prd_catalog
+        from checked where reasons = ''
     """,
     "registry_insert_absent": """
         with ranked as (

@@ -26,9 +26,10 @@ RATES = """
     ('GBP', 'EUR', 1.11), ('GBP', 'USD', 1.22), ('GBP', 'CAD', 1.54)
 """
 
+# Currencies of Africa, America, Asia, Europe and the Middle East, in mixed case.
 REGION_CURRENCY = """
-    case r_name when 'AFRICA' then 'gbp' when 'AMERICA' then 'usd' when 'ASIA' then 'jpy'
-    when 'EUROPE' then 'Eur' else 'Cad' end
+    case n_regionkey when 0 then 'gbp' when 1 then 'usd' when 2 then 'jpy'
+    when 3 then 'Eur' else 'Cad' end
 """
 
 
@@ -41,17 +42,13 @@ def exchange_rates(spark: SparkSession) -> DataFrame:
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """25 nations with their region's currency."""
-    region = load(spark, sf_dir, "region")
-    nation = load(spark, sf_dir, "nation")
-    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        "n_nationkey", "n_name", "r_name", F.expr(REGION_CURRENCY).alias("currency")
-    )
+    return load(spark, sf_dir, "nation").withColumn("currency", F.expr(REGION_CURRENCY))
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nations(spark, sf_dir).select(
         F.col("n_name").alias("country_code"),
-        F.concat("n_name", F.lit(" in "), "r_name").alias("country_name"),
+        F.initcap(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("country_name"),
         F.upper("currency").alias("currency"),
     )
 
@@ -82,7 +79,7 @@ def staged_sales(spark: SparkSession, sf_dir: str, **lookup_options: int) -> Dat
 
 
 def converted_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return convert(staged_sales(spark, sf_dir), exchange_rates(spark), on_duplicate="error")
+    return convert(staged_sales(spark, sf_dir), exchange_rates(spark))
 
 
 def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +117,10 @@ def fx_missing_rate_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_miss_and_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension that lacks one region's nations and lists another's twice."""
-    known = nations(spark, sf_dir)
+    region = load(spark, sf_dir, "region")
+    known = load(spark, sf_dir, "nation").join(
+        region, F.col("n_regionkey") == F.col("r_regionkey"), "left"
+    )
     listed = known.where("r_name <> 'ASIA'").select(
         "n_nationkey", F.col("n_name").alias("country_name")
     )
@@ -146,11 +146,10 @@ QUERIES = {
 
 _STAGED = f"""
 nations as (
-    select n_nationkey, n_name, r_name, {REGION_CURRENCY} as currency
-    from nation left join region on n_regionkey = r_regionkey
+    select n_nationkey, n_name, {REGION_CURRENCY} as currency from nation
 ),
 countries as (
-    select n_name as country_code, n_name || ' in ' || r_name as country_name,
+    select n_name as country_code, replace(n_name, 'NATION_', 'Nation ') as country_name,
            upper(currency) as currency
     from nations
 ),

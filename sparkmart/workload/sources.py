@@ -10,6 +10,7 @@ from sparkmart.sources import (
     SourceTable,
     full_refresh as refresh,
     land_raw,
+    parse_raw,
     read_raw,
     read_seed,
     read_stream,
@@ -37,6 +38,8 @@ CUSTOMER_STREAM = {
     },
 }
 
+COUNTER_SCHEMA = {"type": "object", "properties": {"k": {"type": ["number", "null"]}}}
+
 EVENT_SCHEMA = {
     "type": "object",
     "properties": {
@@ -85,7 +88,7 @@ def delimited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = struct_from_json_schema({"properties": {"k": {"type": ["number", "null"]}}})
+    schema = struct_from_json_schema(COUNTER_SCHEMA)
     return load(spark, sf_dir, "events").select(
         "event_id", F.from_json("props", schema).getField("k").alias("k")
     )
@@ -102,7 +105,7 @@ def raw_land_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event records of which two kinds are broken: typed rows and quarantine together."""
+    """Event records of which two kinds are broken: typed columns or the kept text."""
     broken = F.when(F.col("event_type") == "error", F.lit('"n/a"')).when(
         F.col("event_type") == "signup", F.lit("")
     )
@@ -116,8 +119,19 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}"),
     )
     raw = load(spark, sf_dir, "events").select(payload.alias("payload"))
-    typed, quarantine = read_raw(raw, struct_from_json_schema(EVENT_SCHEMA))
-    return typed.unionByName(quarantine, allowMissingColumns=True)
+    schema = struct_from_json_schema(EVENT_SCHEMA)
+    kept = [F.when(F.col("fits"), F.col(name)).alias(name) for name in schema.names]
+    return parse_raw(raw, schema).select(
+        *kept, F.when(~F.col("fits"), F.col("payload")).alias("payload")
+    )
+
+
+def raw_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the sound records of event payloads that lack a number at times."""
+    payload = F.when(F.col("event_type") != "error", F.col("props")).otherwise(F.lit('{"k": "n/a"}'))
+    raw = load(spark, sf_dir, "events").select(payload.alias("payload"))
+    typed, _ = read_raw(raw, struct_from_json_schema(COUNTER_SCHEMA))
+    return typed.groupBy("k").agg(F.count("*").alias("events"))
 
 
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +152,7 @@ QUERIES = {
     "json_schema_read": json_schema_read,
     "raw_land_readback": raw_land_readback,
     "raw_quarantine": raw_quarantine,
+    "raw_valid": raw_valid,
     "full_refresh": full_refresh,
 }
 
@@ -164,6 +179,10 @@ ORACLES = {
                || '", "value": ' || case event_type when 'error' then '"n/a"' else '' end || '}'
         from events where event_type in ('error', 'signup')
     """,
+    "raw_valid": """
+        select cast(json_extract_string(props, '$.k') as double) as k, count(*) as events
+        from events where event_type <> 'error' group by 1
+    """,
     "full_refresh": """
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                lower(o_orderpriority) as o_orderpriority

@@ -1,0 +1,105 @@
+import pytest
+
+from sparkmart.operators import (
+    ColumnMask,
+    Identity,
+    PolicyConflictError,
+    RowFilter,
+    TableName,
+    secure,
+    tail_mask,
+)
+
+# The governed sample table and its policies.
+TABLE = TableName("sample_catalog", "sample_schema", "restricted_table")
+NO_CUSTOMERS = RowFilter(TABLE, "user_type <> 'customer'")
+NO_PHONE = ColumnMask(TABLE, "user_phone", "NULL")
+SHORT_NAME = ColumnMask(TABLE, "user_name", tail_mask("user_name"))
+POLICIES = [NO_CUSTOMERS, NO_PHONE, SHORT_NAME]
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    return spark.createDataFrame(
+        [
+            ("staff", 100, "abcdefg"),
+            ("staff", 101, "abc"),
+            ("staff", 102, "ab"),
+            ("staff", 103, ""),
+            ("staff", 104, None),
+            ("customer", 105, "customer"),
+            (None, 106, "nobody"),
+        ],
+        "user_type string, user_phone bigint, user_name string",
+    )
+
+
+def test_filter_and_masks(users):
+    seen = secure(users, TABLE, Identity("analyst"), POLICIES)
+    assert seen.dtypes == users.dtypes
+    names = [(r.user_phone, r.user_name) for r in seen.collect()]
+    assert names == [
+        (None, "****efg"),
+        (None, "****abc"),
+        (None, "****"),
+        (None, "****"),
+        (None, None),
+    ]
+
+
+def test_admin_sees_all(users, rows):
+    assert rows(secure(users, TABLE, Identity("admin"), POLICIES)) == rows(users)
+
+
+@pytest.mark.parametrize("identity", [None, Identity(), Identity(""), Identity("Admin")])
+def test_policies_apply_to_everybody_else(users, identity):
+    assert secure(users, TABLE, identity, POLICIES).count() == 5
+
+
+@pytest.mark.parametrize(
+    "table",
+    [
+        TableName("other", "sample_schema", "restricted_table"),
+        TableName("sample_catalog", "other", "restricted_table"),
+        TableName("sample_catalog", "sample_schema", "other"),
+    ],
+)
+def test_other_tables_pass_unchanged(users, rows, table):
+    assert rows(secure(users, table, None, POLICIES)) == rows(users)
+
+
+def test_filters_are_anded_and_see_unmasked_values(users):
+    policies = [
+        RowFilter(TABLE, "user_phone >= 101"),
+        RowFilter(TABLE, "user_name <> ''"),
+        *POLICIES,
+    ]
+    seen = secure(users, TABLE, None, policies)
+    assert [(r.user_phone, r.user_name) for r in seen.collect()] == [
+        (None, "****abc"),
+        (None, "****"),
+    ]
+
+
+def test_two_masks_conflict(users):
+    other = ColumnMask(TABLE, "user_name", "'x'")
+    with pytest.raises(PolicyConflictError, match="user_name"):
+        secure(users, TABLE, None, [SHORT_NAME, other])
+    assert secure(users, TABLE, None, [SHORT_NAME, SHORT_NAME]).count() == 7
+
+
+def test_mask_for_unknown_column(users):
+    with pytest.raises(ValueError, match="nope"):
+        secure(users, TABLE, None, [ColumnMask(TABLE, "nope", "NULL")])
+
+
+def test_filter_reaches_the_scan_and_masked_column_is_not_read(spark, sf_dir, plan_of):
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    table = TableName("lake", "crm", "customer")
+    policies = [
+        RowFilter(table, "c_mktsegment <> 'BUILDING'"),
+        ColumnMask(table, "c_acctbal", "NULL"),
+    ]
+    plan = plan_of(secure(customer, table, None, policies).select("c_custkey", "c_acctbal"))
+    assert "Not(EqualTo(c_mktsegment,BUILDING))" in plan
+    assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan

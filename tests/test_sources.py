@@ -1,0 +1,194 @@
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import types as T
+
+from sparkmart.sources import (
+    SourceTable,
+    full_refresh,
+    land_raw,
+    read_documents,
+    read_raw,
+    read_seed,
+    read_stream,
+    struct_from_json_schema,
+    to_documents,
+    write_documents,
+    write_parquet,
+)
+from sparkmart.workspace import fresh_folder, shared_folder
+
+PEOPLE = {
+    "sync_mode": "full_refresh",
+    "stream": {
+        "name": "people",
+        "json_schema": {
+            "properties": {
+                "id": {"type": ["number", "null"]},
+                "name": {"type": ["string", "null"]},
+            }
+        },
+    },
+}
+
+
+def test_seed_without_schema_is_text(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("a,b\n1,x\n2,")
+    df = read_seed(spark, str(tmp_path / "s.csv"))
+    assert df.dtypes == [("a", "string"), ("b", "string")]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "x"), ("2", None)]
+
+
+def test_seed_with_schema_is_strict(spark, tmp_path):
+    schema = T.StructType.fromDDL("a int, b string")
+    (tmp_path / "good.csv").write_text("a,b\n1,x\n")
+    assert tuple(read_seed(spark, str(tmp_path / "good.csv"), schema).first()) == (1, "x")
+    (tmp_path / "bad.csv").write_text("a,b\n1,x\noops,y\n")
+    with pytest.raises(PySparkException, match="MALFORMED|FAILED_READ"):
+        read_seed(spark, str(tmp_path / "bad.csv"), schema).collect()
+    (tmp_path / "header.csv").write_text("b,a\nx,1\n")
+    with pytest.raises(PySparkException):
+        read_seed(spark, str(tmp_path / "header.csv"), schema).collect()
+
+
+def test_stream_of_forty_rows(spark, tmp_path):
+    lines = [f"{i};person {i}" for i in range(1, 41)]
+    (tmp_path / "people.csv").write_text("id;name\n" + "\n".join(lines))
+    source = {"format": "csv", "reader_options": '{"sep": ";"}', "url": "people.csv"}
+    df = read_stream(spark, source, PEOPLE, base_folder=str(tmp_path))
+    assert df.dtypes == [("id", "double"), ("name", "string")]
+    assert df.count() == 40
+    source["reader_options"] = {"sep": ";"}
+    source["url"] = str(tmp_path / "people.csv")
+    assert read_stream(spark, source, PEOPLE).agg({"id": "max"}).first()[0] == 40.0
+
+
+@pytest.mark.parametrize(
+    "source, stream, fault",
+    [
+        ({"format": "xlsx"}, {}, "format"),
+        ({"format": "csv"}, {"sync_mode": "incremental"}, "sync mode"),
+        ({"format": "csv", "reader_options": {"skiprows": 1}}, {}, "skiprows"),
+    ],
+)
+def test_stream_refuses_what_it_cannot_do(spark, source, stream, fault):
+    with pytest.raises(ValueError, match=fault):
+        read_stream(spark, {"url": "x", **source}, {**PEOPLE, **stream})
+
+
+def test_raw_keeps_nulls_and_types(spark, tmp_path):
+    df = spark.createDataFrame([(1.5, "a"), (None, None)], "id double, name string")
+    landed = write_parquet(land_raw(df), str(tmp_path / "raw"))
+    assert landed.columns == ["raw_id", "loaded_at", "payload"]
+    assert landed.select("raw_id").distinct().count() == 2
+    assert '{"id":null,"name":null}' in [r.payload for r in landed.collect()]
+    typed, quarantine = read_raw(landed, struct_from_json_schema(PEOPLE["stream"]["json_schema"]))
+    assert sorted(map(tuple, typed.collect()), key=repr) == [(1.5, "a"), (None, None)]
+    assert quarantine.count() == 0
+
+
+def test_quarantine_keeps_what_does_not_fit(spark):
+    payloads = [
+        '{"id": 1, "name": "a"}',
+        "{}",
+        '{"id": "1x"}',
+        '{"id": ',
+        "[]",
+        "",
+        None,
+        '{"id": 2, "more": true}',
+    ]
+    raw = spark.createDataFrame([(p, i) for i, p in enumerate(payloads)], "payload string, i int")
+    typed, quarantine = read_raw(raw, struct_from_json_schema(PEOPLE["stream"]["json_schema"]))
+    assert sorted(map(tuple, typed.collect()), key=repr) == [(1.0, "a"), (2.0, None), (None, None)]
+    assert quarantine.columns == ["payload", "i"]
+    assert sorted(r.i for r in quarantine.collect()) == [2, 3, 4, 5, 6]
+
+
+def test_record_is_parsed_once(spark, plan_of):
+    raw = spark.range(3).selectExpr("cast(id as string) as payload")
+    typed, _ = read_raw(raw, struct_from_json_schema(PEOPLE["stream"]["json_schema"]))
+    assert plan_of(typed, "simple").count("from_json") == 1
+
+
+RECORDS = [
+    ("a", "d", "text", ["x@y.org"]) + (True,) + (False,) * 5,
+    ("b", None, None, None) + (None,) * 6,
+]
+
+
+def test_documents_round_trip(spark, tmp_path):
+    from sparkmart.sources.documents import RECORD
+
+    df = spark.createDataFrame(RECORDS, RECORD)
+    write_documents(df, str(tmp_path / "docs"))
+    back = read_documents(spark, str(tmp_path / "docs"))
+    assert back.schema == df.schema
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_whole_document_file(spark, tmp_path):
+    record = {"name": "a", "domain": "d", "admin_emails": ["x@y.org"], "code_repository": True}
+    document = {"data_products": {"a": record, "b": {"name": "b"}}}
+    (tmp_path / "registry.json").write_text(json.dumps(document, indent=4))
+    back = read_documents(spark, str(tmp_path / "registry.json"), whole_file=True)
+    assert sorted((r.name, r.admin_emails, r.code_repository) for r in back.collect()) == [
+        ("a", ["x@y.org"], True),
+        ("b", None, None),
+    ]
+    (tmp_path / "empty.json").write_text('{"data_products": {}}')
+    assert read_documents(spark, str(tmp_path / "empty.json"), whole_file=True).count() == 0
+
+
+def test_documents_are_written_without_a_shuffle(spark, plan_of):
+    assert "Exchange" not in plan_of(to_documents(spark.range(3).selectExpr("cast(id as string) name")))
+
+
+def test_full_refresh_replaces_and_may_read_itself(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS t_refresh LOCATION '{tmp_path}/db'")
+    table, root = "t_refresh.numbers", str(tmp_path / "files")
+    first = full_refresh(spark.range(10), table, root)
+    assert first.count() == 10
+    second = full_refresh(first.where("id < 4"), table, root)
+    assert second.count() == 4
+    assert first.count() == 10
+    assert spark.table(table).count() == 4
+    third = full_refresh(spark.range(2).selectExpr("id", "'x' AS note"), table, root)
+    assert third.columns == ["id", "note"]
+    assert spark.table(table).count() == 2
+
+
+def test_failed_refresh_leaves_the_table(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS t_failed LOCATION '{tmp_path}/db'")
+    table, root = "t_failed.numbers", str(tmp_path / "files")
+    full_refresh(spark.range(10), table, root)
+    with pytest.raises(PySparkException):
+        full_refresh(spark.range(3).selectExpr("raise_error('no') AS id"), table, root)
+    assert spark.table(table).count() == 10
+
+
+def test_source_table_names(spark, tmp_path):
+    assert SourceTable("t", "s").full_name == "`s`.`t`"
+    assert SourceTable("t", "s", "c").full_name == "`c`.`s`.`t`"
+
+
+def test_working_folders(spark):
+    assert fresh_folder(spark, "x").startswith(f"{shared_folder(spark)}/sparkmart/x/")
+    assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
