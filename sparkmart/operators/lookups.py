@@ -5,6 +5,9 @@ rows are not shuffled at all. Beyond it both sides are shuffled on the key, and
 the keys that hold more fact rows than one task should are spread over several
 slots, with the dimension's rows of just these keys repeated once per slot.
 Either way gives the same rows.
+
+Beyond the bound the fact's keys are counted in a pass of their own; write a
+fact that is costly to compute to a table before.
 """
 
 from __future__ import annotations
@@ -15,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkmart.sources.tables import write_parquet
+from sparkmart.workspace import fresh_folder
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
-# The hot-key sketch: keys reported, and counters it holds to find them.
-HOT_KEYS = 10_000
-HOT_COUNTERS = 100_000
 
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
@@ -93,35 +96,38 @@ def lookup(
     return joined.select(*fact.columns, *take)
 
 
-def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> list[tuple]:
-    """(key hash, slots) of keys with more rows than a task should get.
+def matching(
+    df: DataFrame, wanted: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of ``df`` whose key is in ``wanted``; a small ``wanted`` is broadcast."""
+    keys = wanted.select(key)
+    if _measure(keys, [key], False) <= broadcast_bytes:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_semi")
+
+
+def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> DataFrame:
+    """(key hash, slots) of the keys with more rows than one task should get.
 
-    One pass over the key columns with a mergeable frequent-items sketch; it gives
-    at most HOT_KEYS pairs. The counts only steer the spreading: the join is exact
-    for any list of hot keys, and the runtime's own skew splitting still serves
-    keys below the sketch's resolution.
+    Counted in full, with map-side partial counts, and written to a small table,
+    since both sides of the join read it. It has fewer rows than the fact has
+    multiples of ``rows_per_task``.
     """
-    hashes = left.select(F.xxhash64(*key_names).alias("key_hash"))
-    top = hashes.agg(
-        F.expr(f"approx_top_k(key_hash, {HOT_KEYS}, {HOT_COUNTERS})").alias("top")
-    ).first()["top"]
-    return [
-        (entry["item"], -(-entry["count"] // rows_per_task))
-        for entry in top or []
-        if entry["count"] > rows_per_task
-    ]
+    counted = left.groupBy(F.xxhash64(*key_names).alias("_key_hash")).agg(
+        F.count("*").alias("_rows")
+    )
+    hot = counted.where(F.col("_rows") > rows_per_task).select(
+        "_key_hash", F.ceil(F.col("_rows") / rows_per_task).alias("_slots")
+    )
+    return write_parquet(hot, fresh_folder(left.sparkSession, "hot_keys"))
 
 
 def _spread_join(
     left: DataFrame, right: DataFrame, key_names: list[str], rows_per_task: int
 ) -> DataFrame:
-    hot = _hot_keys(left, key_names, rows_per_task)
-    if not hot:
+    slots = _hot_keys(left, key_names, rows_per_task)
+    if slots.isEmpty():
         return left.join(right, key_names, "left")
-    # At most HOT_KEYS short rows, so this side's broadcast is bounded.
-    slots = F.broadcast(
-        left.sparkSession.createDataFrame(hot, "_key_hash bigint, _slots bigint")
-    )
 
     def with_slots(df: DataFrame) -> DataFrame:
         hashed = df.withColumn("_key_hash", F.xxhash64(*key_names))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookups import lookup
+from sparkmart.operators.lookups import lookup, matching
 
 # Patterns, length bounds and flags of a data-product record.
 NAME_PATTERN = r"^[a-z0-9_]+\z"
@@ -81,7 +81,8 @@ def insert_absent(
     A row is refused when its key is in ``base`` or came earlier in the batch, by
     the ``arrival`` columns. The earliest row per key is a minimum, so copies of a
     hot key shrink to one row before the shuffle, and no key's rows are gathered
-    or sorted. The two results together are all rows of ``new``.
+    or sorted. A small batch meets the base without shuffling it. The two results
+    together are all rows of ``new``.
     """
     rest = [column for column in new.columns if column not in {key, *arrival}]
     first = F.min(F.struct(*arrival, *rest)).alias("_first")
@@ -90,7 +91,8 @@ def insert_absent(
         .agg(first)
         .select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in new.columns])
     )
-    accepted = earliest.join(base.select(key), key, "left_anti").select(*new.columns)
+    taken = matching(base.select(key), new.select(key).distinct(), key)
+    accepted = earliest.join(taken, key, "left_anti").select(*new.columns)
     return accepted, new.exceptAll(accepted)
 
 
@@ -104,18 +106,23 @@ def update_columns(
     """Overwrite ``columns`` of the rows that ``updates`` names.
 
     Gives the updated base and the updates with an unknown key. An explicit NULL
-    overwrites. Of several updates for a key the last by ``order`` counts; without
+    overwrites. Few updates are broadcast, so the base is not shuffled. Of several updates for a key the last by ``order`` counts; without
     an order each key may come once, which is then the caller's promise.
     """
     missing = [c for c in columns if c not in base.columns or c not in updates.columns]
     if missing:
         raise ValueError(f"columns to update are not in both tables: {missing}")
-    last = updates.groupBy(key).agg(F.max(F.struct(*order, *columns)).alias("_new"))
-    updated = base.join(last, key, "left").select(
+    places = [F.col(c).alias(f"_place_{i}") for i, c in enumerate(order)]
+    last = (
+        updates.groupBy(key)
+        .agg(F.max(F.struct(*places, *columns)).alias("_new"))
+        .select(key, *[F.col(f"_new.{c}") for c in columns], F.lit(True).alias("_hit"))
+    )
+    fresh = {f"_new_{c}": c for c in columns}
+    matched = lookup(base, last, {key: key}, {**fresh, "_hit": "_hit"})
+    updated = matched.select(
         *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
-            .otherwise(F.col(c))
-            .alias(c)
+            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in columns
             else F.col(c)
             for c in base.columns

@@ -8,13 +8,16 @@ Spark plan, published as a view or as a Parquet table.
 from __future__ import annotations
 
 import graphlib
+import posixpath
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sparkmart.operators.contract import Contract, enforce
 from sparkmart.operators.policy import ColumnMask, Identity, RowFilter, TableName, secure
+from sparkmart.sources.delimited import read_seed
 from sparkmart.sources.tables import SourceTable, full_refresh, replace_view
 from sparkmart.workspace import shared_folder
 
@@ -97,6 +100,12 @@ class Product:
         self._refuse_taken(name, None)
         self._seeds[name] = rows
 
+    def seed_file(self, path: str, schema: T.StructType | None = None) -> str:
+        """A headered CSV file as a seed named after the file; gives that name."""
+        name = posixpath.splitext(posixpath.basename(path.rstrip("/")))[0]
+        self.seed(name, lambda spark: read_seed(spark, path, schema))
+        return name
+
     def declare_source(self, name: str, table: SourceTable) -> None:
         self._sources[name] = table
 

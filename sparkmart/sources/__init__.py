@@ -7,6 +7,7 @@ from sparkmart.sources.documents import (
     to_documents,
     write_documents,
 )
+from sparkmart.sources.ingest import sync_streams
 from sparkmart.sources.raw import land_raw, parse_raw, read_raw
 from sparkmart.sources.schemas import struct_from_json_schema
 from sparkmart.sources.tables import SourceTable, full_refresh, write_parquet
@@ -23,6 +24,7 @@ __all__ = [
     "read_seed",
     "read_stream",
     "struct_from_json_schema",
+    "sync_streams",
     "to_documents",
     "write_documents",
     "write_parquet",

@@ -15,6 +15,7 @@ from sparkmart.sources import (
     read_seed,
     read_stream,
     struct_from_json_schema,
+    sync_streams,
     write_parquet,
 )
 from sparkmart.workload.tables import SCHEMAS, load
@@ -87,6 +88,23 @@ def delimited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream(spark, source, CUSTOMER_STREAM, base_folder=folder)
 
 
+def ingest_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers synced from a delimited file to a raw table, then counted and typed."""
+    folder = fresh_folder(spark, "ingest_sync")
+    load(spark, sf_dir, "customer").write.option("header", "true").csv(f"{folder}/customer")
+    synced = sync_streams(
+        spark,
+        {"format": "csv", "reader_options": '{"sep": ","}', "url": f"{folder}/customer"},
+        {"streams": [CUSTOMER_STREAM]},
+        "sparkmart_ingest",
+        raw=True,
+        root=f"{shared_folder(spark)}/sparkmart/zones/sparkmart_ingest",
+    )
+    schema = struct_from_json_schema(CUSTOMER_STREAM["stream"]["json_schema"])
+    typed, _ = read_raw(synced["customer_raw_data"], schema)
+    return typed.groupBy("c_mktsegment").agg(F.count("*").alias("raw_count"))
+
+
 def json_schema_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = struct_from_json_schema(COUNTER_SCHEMA)
     return load(spark, sf_dir, "events").select(
@@ -149,6 +167,7 @@ QUERIES = {
     "source_count": source_count,
     "seed_roundtrip": seed_roundtrip,
     "delimited_stream": delimited_stream,
+    "ingest_sync": ingest_sync,
     "json_schema_read": json_schema_read,
     "raw_land_readback": raw_land_readback,
     "raw_quarantine": raw_quarantine,
@@ -166,6 +185,9 @@ ORACLES = {
     "source_count": "select count(*) as raw_count from customer",
     "seed_roundtrip": "select * from supplier",
     "delimited_stream": _TYPED_CUSTOMER,
+    "ingest_sync": """
+        select c_mktsegment, count(*) as raw_count from customer group by c_mktsegment
+    """,
     "json_schema_read": """
         select event_id, cast(json_extract_string(props, '$.k') as double) as k from events
     """,

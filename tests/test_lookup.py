@@ -100,7 +100,7 @@ def test_large_dimension_is_not_broadcast(spark, plan_of):
 
 def test_hot_rows_are_spread_over_slots(tables):
     _, _, fact_df, _ = tables
-    hot = dict(lookups._hot_keys(fact_df, ["code"], 50))
+    hot = {row._key_hash: row._slots for row in lookups._hot_keys(fact_df, ["code"], 50).collect()}
     hashes = {
         row.code: row.h for row in fact_df.select("code", F.xxhash64("code").alias("h")).distinct().collect()
     }

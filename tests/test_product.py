@@ -68,6 +68,13 @@ def test_chain_is_built_in_dependency_order(product):
     assert relations["middle"].count() == 4
 
 
+def test_seed_file_is_named_after_the_file(product, tmp_path):
+    (tmp_path / "countries.csv").write_text("code,name\nDE,Germany\n")
+    assert product.seed_file(str(tmp_path / "countries.csv")) == "countries"
+    product.model("names", refs=["countries"], sql="select name from {countries}")
+    assert product.build()["names"].first().name == "Germany"
+
+
 def test_sql_view_is_stored_and_follows_its_table(spark, product):
     product.seed("numbers", numbers)
     product.model("evens", refs=["numbers"], sql="select n from {numbers} where n % 2 = 0")

@@ -117,6 +117,18 @@ def test_last_update_wins(spark, base):
     assert [r["at"] for r in unknown.collect()] == [9]
 
 
+def test_order_column_may_be_updated_too(spark, base):
+    updates = spark.createDataFrame([("a", 7), ("a", 5)], "name string, size int")
+    updated, _ = update_columns(base, updates, "name", ["size"], ["size"])
+    assert updated.where("name = 'a'").first()["size"] == 7
+
+
+def test_few_updates_do_not_shuffle_the_base(spark, base, plan_of):
+    updated, _ = update_columns(base, base, "name", ["size"])
+    plan = plan_of(updated, "simple")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_all_null_update_still_overwrites(spark, base):
     updates = spark.createDataFrame([("a", None, None)], base.schema)
     updated, _ = update_columns(base, updates, "name", ["size", "note"])

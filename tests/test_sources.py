@@ -13,6 +13,7 @@ from sparkmart.sources import (
     read_seed,
     read_stream,
     struct_from_json_schema,
+    sync_streams,
     to_documents,
     write_documents,
     write_parquet,
@@ -77,6 +78,22 @@ def test_stream_refuses_what_it_cannot_do(spark, source, stream, fault):
         read_stream(spark, {"url": "x", **source}, {**PEOPLE, **stream})
 
 
+def test_sync_replaces_the_table_of_each_stream(spark, tmp_path):
+    source = {"format": "csv", "url": "people.csv"}
+    catalog = {"streams": [{**PEOPLE, "destination_sync_mode": "overwrite"}]}
+    options = {"base_folder": str(tmp_path), "root": str(tmp_path / "zone")}
+    for size in (3, 2):
+        (tmp_path / "people.csv").write_text("id,name\n" + "1,x\n" * size)
+        typed = sync_streams(spark, source, catalog, "t_sync", **options)["people"]
+        landed = sync_streams(spark, source, catalog, "t_sync", raw=True, **options)
+        assert typed.count() == size
+        assert landed["people_raw_data"].count() == size
+    assert spark.table("t_sync.people").dtypes == [("id", "double"), ("name", "string")]
+    catalog["streams"][0]["destination_sync_mode"] = "append"
+    with pytest.raises(ValueError, match="append"):
+        sync_streams(spark, source, catalog, "t_sync", **options)
+
+
 def test_raw_keeps_nulls_and_types(spark, tmp_path):
     df = spark.createDataFrame([(1.5, "a"), (None, None)], "id double, name string")
     landed = write_parquet(land_raw(df), str(tmp_path / "raw"))
