@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 from sparkmart.sources.tables import write_parquet
 from sparkmart.workspace import fresh_folder
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
+# Two numbers per hot key: some tens of megabytes at most.
+MAX_BROADCAST_SLOTS = 500_000
 
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
@@ -126,8 +128,11 @@ def _spread_join(
     left: DataFrame, right: DataFrame, key_names: list[str], rows_per_task: int
 ) -> DataFrame:
     slots = _hot_keys(left, key_names, rows_per_task)
-    if slots.isEmpty():
+    hot = slots.count()
+    if hot == 0:
         return left.join(right, key_names, "left")
+    if hot <= MAX_BROADCAST_SLOTS:
+        slots = F.broadcast(slots)
 
     def with_slots(df: DataFrame) -> DataFrame:
         hashed = df.withColumn("_key_hash", F.xxhash64(*key_names))
@@ -137,7 +142,8 @@ def _spread_join(
     # again after a lost executor puts the row into the same slot.
     row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
     spread = with_slots(left).withColumn(
-        "_slot", F.coalesce(F.pmod(row_hash, F.col("_slots")), F.lit(0))
+        "_slot",
+        F.when(F.col("_slots").isNotNull(), F.pmod(row_hash, F.col("_slots"))).otherwise(0),
     )
     repeated = with_slots(right).withColumn(
         "_slot",
