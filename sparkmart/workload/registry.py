@@ -53,12 +53,10 @@ def registry_insert_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id"))
     batch = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
     accepted, rejected = insert_absent(taken, batch, "user_id", ["event_id"])
-    return (
-        new_records(accepted, ["published"])
-        .withColumn("outcome", F.lit("inserted"))
-        .unionByName(
-            rejected.withColumn("outcome", F.lit("refused")), allowMissingColumns=True
-        )
+    inserted = new_records(accepted, ["published"]).withColumn("outcome", F.lit("inserted"))
+    refused = rejected.withColumn("outcome", F.lit("refused"))
+    return inserted.withColumn("published", F.col("published").cast("string")).unionByName(
+        refused, allowMissingColumns=True
     )
 
 
@@ -157,7 +155,7 @@ ORACLES = {
             from ranked
         )
         select user_id, event_id, event_type, value,
-               case when fresh then false end as published,
+               case when fresh then 'false' end as published,
                case when fresh then 'inserted' else 'refused' end as outcome
         from decided
     """,

@@ -138,9 +138,11 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     raw = load(spark, sf_dir, "events").select(payload.alias("payload"))
     schema = struct_from_json_schema(EVENT_SCHEMA)
-    kept = [F.when(F.col("fits"), F.col(name)).alias(name) for name in schema.names]
+    fits = F.col("fits")
     return parse_raw(raw, schema).select(
-        *kept, F.when(~F.col("fits"), F.col("payload")).alias("payload")
+        F.when(fits, F.concat_ws(":", "event_type", "event_id")).alias("event"),
+        F.when(fits, F.col("value")).alias("value"),
+        F.when(~fits, F.col("payload")).alias("payload"),
     )
 
 
@@ -193,10 +195,10 @@ ORACLES = {
     """,
     "raw_land_readback": _TYPED_CUSTOMER,
     "raw_quarantine": """
-        select event_id, event_type, value, cast(null as varchar) as payload
+        select event_type || ':' || event_id as event, value, cast(null as varchar) as payload
         from events where event_type not in ('error', 'signup')
         union all
-        select null, null, null,
+        select null, null,
                '{"event_id": ' || event_id || ', "event_type": "' || event_type
                || '", "value": ' || case event_type when 'error' then '"n/a"' else '' end || '}'
         from events where event_type in ('error', 'signup')
