@@ -34,6 +34,10 @@ class DuplicateKeyError(ValueError):
     """A table that must hold each key once holds one several times."""
 
 
+def _named(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """A row's size in memory, rounded up."""
     sizes = [str(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.schema.fields))]
@@ -85,27 +89,17 @@ def lookup(
     """
     key_names = [f"_key_{i}" for i in range(len(keys))]
     left = fact.select(
-        "*", *[normalise(F.col(c)).alias(k) for c, k in zip(keys, key_names)]
+        "*", *[normalise(_named(c)).alias(k) for c, k in zip(keys, key_names)]
     )
     right = dimension.select(
-        *[normalise(F.col(c)).alias(k) for c, k in zip(keys.values(), key_names)],
-        *[F.col(source).alias(name) for name, source in take.items()],
+        *[normalise(_named(c)).alias(k) for c, k in zip(keys.values(), key_names)],
+        *[_named(source).alias(name) for name, source in take.items()],
     )
     if _measure(right, key_names, unique) <= broadcast_bytes:
         joined = left.join(F.broadcast(right), key_names, "left")
     else:
         joined = _spread_join(left, right, key_names, rows_per_task)
-    return joined.select(*fact.columns, *take)
-
-
-def matching(
-    df: DataFrame, wanted: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``; a small ``wanted`` is broadcast."""
-    keys = wanted.select(key)
-    if _measure(keys, [key], False) <= broadcast_bytes:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_semi")
+    return joined.select(*[_named(name) for name in [*fact.columns, *take]])
 
 
 def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> DataFrame:
@@ -140,7 +134,7 @@ def _spread_join(
 
     # A row's slot follows from its content and partition, so a task that runs
     # again after a lost executor puts the row into the same slot.
-    row_hash = F.xxhash64(F.spark_partition_id(), *left.columns)
+    row_hash = F.xxhash64(F.spark_partition_id(), *[_named(name) for name in left.columns])
     spread = with_slots(left).withColumn(
         "_slot",
         F.when(F.col("_slots").isNotNull(), F.pmod(row_hash, F.col("_slots"))).otherwise(0),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookups import lookup, matching
+from sparkmart.operators.lookups import lookup
 
 # Patterns, length bounds and flags of a data-product record.
 NAME_PATTERN = r"^[a-z0-9_]+\z"
@@ -80,9 +80,9 @@ def insert_absent(
 
     A row is refused when its key is in ``base`` or came earlier in the batch, by
     the ``arrival`` columns. The earliest row per key is a minimum, so copies of a
-    hot key shrink to one row before the shuffle, and no key's rows are gathered
-    or sorted. A small batch meets the base without shuffling it. The two results
-    together are all rows of ``new``.
+    hot key shrink to one row before the shuffle, and no key's rows are gathered.
+    Of the base only the keys are read. The two results together are all rows of
+    ``new``.
     """
     rest = [column for column in new.columns if column not in {key, *arrival}]
     first = F.min(F.struct(*arrival, *rest)).alias("_first")
@@ -91,8 +91,7 @@ def insert_absent(
         .agg(first)
         .select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in new.columns])
     )
-    taken = matching(base.select(key), new.select(key).distinct(), key)
-    accepted = earliest.join(taken, key, "left_anti").select(*new.columns)
+    accepted = earliest.join(base.select(key), key, "left_anti").select(*new.columns)
     return accepted, new.exceptAll(accepted)
 
 

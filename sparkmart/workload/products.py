@@ -11,7 +11,7 @@ from sparkmart.operators import Contract, ContractColumn
 from sparkmart.operators import cross_rates as rate_matrix
 from sparkmart.plans import Product, convert, monthly, stage
 from sparkmart.workload import rates, sales
-from sparkmart.workload.tables import load
+from sparkmart.workload.tables import lay_table, load
 
 RATE_CONTRACT = Contract.of(
     ContractColumn("from_currency", "string", "The currency to convert from"),
@@ -51,11 +51,10 @@ def model_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three views in SQL text, stored in the catalog, each built on the one before."""
     product = Product(spark, "sparkmart_chain_sql")
     product.seed("nations", lambda spark: load(spark, sf_dir, "nation"))
-    product.seed("orders", lambda spark: load(spark, sf_dir, "orders"))
-    product.seed("customers", lambda spark: load(spark, sf_dir, "customer"))
+    product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_lake"))
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
     product.model(
         "spending",
-        refs=["orders", "customers"],
         sql="select c_nationkey, o_orderpriority, cast(o_totalprice as decimal(18,2)) as price "
         "from {orders} left join {customers} on o_custkey = c_custkey",
     )
@@ -78,13 +77,14 @@ def model_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product built into two namespaces."""
     parts = []
+    customers = lay_table(spark, sf_dir, "customer", "sparkmart_lake")
     for schema in ("sparkmart_dev", "sparkmart_prod"):
         product = Product(spark, schema)
         product.seed("nations", lambda spark: load(spark, sf_dir, "nation"))
-        product.seed("customers", lambda spark: load(spark, sf_dir, "customer"))
+        product.declare_source("customers", customers)
         product.model(
             "customers_by_nation",
-            refs=["nations", "customers"],
+            refs=["nations"],
             sql="select n_name, count(c_custkey) as customers from {nations} "
             "left join {customers} on n_nationkey = c_nationkey group by n_name",
         )
@@ -136,23 +136,21 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the relations tagged as output ports."""
     product = Product(spark, "sparkmart_ports")
-    product.seed("orders", lambda spark: load(spark, sf_dir, "orders"))
+    product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_lake"))
     port = {"output_port": "true", "brand_content": "glb"}
     product.model(
         "open_orders",
-        refs=["orders"],
         meta=port,
         sql="select * from {orders} where o_orderstatus = 'O'",
     )
     product.model(
         "orders_by_status",
-        refs=["orders"],
         materialized="table",
         meta=port,
         sql="select o_orderstatus, count(*) as orders from {orders} group by o_orderstatus",
     )
     product.model(
-        "scratch", refs=["orders"], sql="select * from {orders} where o_orderstatus = 'F'"
+        "scratch", sql="select * from {orders} where o_orderstatus = 'F'"
     )
     built = product.build()
     parts = [
@@ -163,10 +161,9 @@ def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A question in SQL to a built product."""
+    """A question in SQL to a product's source."""
     product = Product(spark, "sparkmart_adhoc")
-    product.seed("customers", lambda spark: load(spark, sf_dir, "customer"))
-    product.build()
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
     return product.sql(
         "select c_mktsegment, count(*) as customers, "
         "cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(18,2)) as balance "

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.sources import (
-    SourceTable,
     full_refresh as refresh,
     land_raw,
     parse_raw,
@@ -18,8 +17,8 @@ from sparkmart.sources import (
     sync_streams,
     write_parquet,
 )
-from sparkmart.workload.tables import SCHEMAS, load
-from sparkmart.workspace import fresh_folder, shared_folder
+from sparkmart.workload.tables import SCHEMAS, lay_table, load, zone
+from sparkmart.workspace import fresh_folder
 
 CUSTOMER_STREAM = {
     "sync_mode": "full_refresh",
@@ -51,22 +50,9 @@ EVENT_SCHEMA = {
 }
 
 
-def zone(spark: SparkSession, schema: str) -> None:
-    folder = f"{shared_folder(spark)}/sparkmart/zones/{schema}"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{folder}'")
-
-
 def source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a declared source table, here one laid over the given files."""
-    zone(spark, "sparkmart_source")
-    spark.sql("DROP TABLE IF EXISTS sparkmart_source.customer")
-    spark.catalog.createTable(
-        "sparkmart_source.customer",
-        path=f"{sf_dir}/customer.parquet",
-        source="parquet",
-        schema=T.StructType.fromDDL(SCHEMAS["customer"]),
-    )
-    declared = SourceTable("customer", "sparkmart_source")
+    declared = lay_table(spark, sf_dir, "customer", "sparkmart_source")
     return declared.read(spark).agg(F.count("*").alias("raw_count"))
 
 
@@ -98,7 +84,7 @@ def ingest_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"streams": [CUSTOMER_STREAM]},
         "sparkmart_ingest",
         raw=True,
-        root=f"{shared_folder(spark)}/sparkmart/zones/sparkmart_ingest",
+        root=zone(spark, "sparkmart_ingest"),
     )
     schema = struct_from_json_schema(CUSTOMER_STREAM["stream"]["json_schema"])
     typed, _ = read_raw(synced["customer_raw_data"], schema)

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from sparkmart.sources import SourceTable
+from sparkmart.workspace import shared_folder
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -26,3 +30,23 @@ SCHEMAS = {
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def zone(spark: SparkSession, schema: str) -> str:
+    """A schema in the catalog with its folder, which is returned."""
+    folder = f"{shared_folder(spark)}/sparkmart/zones/{schema}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{folder}'")
+    return folder
+
+
+def lay_table(spark: SparkSession, sf_dir: str, name: str, schema: str) -> SourceTable:
+    """A catalog table laid over a given file, without copying it."""
+    zone(spark, schema)
+    spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
+    spark.catalog.createTable(
+        f"{schema}.{name}",
+        path=f"{sf_dir.rstrip('/')}/{name}.parquet",
+        source="parquet",
+        schema=T.StructType.fromDDL(SCHEMAS[name]),
+    )
+    return SourceTable(name, schema)

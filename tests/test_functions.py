@@ -1,0 +1,58 @@
+"""Column expressions against plain Python, over generated values."""
+
+import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sparkmart.functions import money, month_number, recode, year_number
+from sparkmart.operators import tail_mask
+
+BATCH = settings(max_examples=3, deadline=None, derandomize=True)
+
+
+@BATCH
+@given(st.data())
+def test_money_rounds_half_up_on_the_shortest_text(spark, data):
+    values = data.draw(
+        st.lists(st.floats(-1e12, 1e12, allow_nan=False), min_size=50, max_size=200)
+    ) + [0.145, 1.005, 2.675, -0.005, 1e-9, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cents = Decimal("0.01")
+    for value, rounded in df.select("v", money(F.col("v"))).collect():
+        expected = None if value is None else Decimal(repr(value)).quantize(cents, ROUND_HALF_UP)
+        assert rounded == expected
+
+
+@BATCH
+@given(st.data())
+def test_recode(spark, data):
+    codes = data.draw(
+        st.lists(st.sampled_from(["uk", "Uk", "UK", "el", "GB", "de", "", None]), min_size=20)
+    )
+    df = spark.createDataFrame([(c,) for c in codes], "c string")
+    known = {"UK": "GB", "EL": "GR"}
+    for code, new in df.select("c", recode(F.col("c"), known)).collect():
+        assert new == (None if code is None else known.get(code.upper(), code.upper()))
+    for code, new in df.select("c", recode(F.col("c"), {})).collect():
+        assert new == (None if code is None else code.upper())
+
+
+@BATCH
+@given(st.data())
+def test_tail_mask(spark, data):
+    texts = data.draw(st.lists(st.text("aé漢😀 '", max_size=6), min_size=20)) + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, shown in df.select("t", F.expr(tail_mask("t"))).collect():
+        expected = None if text is None else "****" + (text[-3:] if len(text) >= 3 else "")
+        assert shown == expected
+
+
+def test_date_parts(spark):
+    moments = [dt.datetime(1999, 12, 31, 23, 59, 59), dt.datetime(2024, 2, 29), None]
+    df = spark.createDataFrame([(m,) for m in moments], "m timestamp_ntz")
+    parts = df.select(year_number(F.col("m")).alias("y"), month_number(F.col("m")).alias("m"))
+    assert parts.dtypes == [("y", "bigint"), ("m", "bigint")]
+    assert [tuple(r) for r in parts.collect()] == [(1999, 12), (2024, 2), (None, None)]

@@ -109,6 +109,15 @@ def test_hot_rows_are_spread_over_slots(tables):
     assert len(hot) == 2
 
 
+@pytest.mark.parametrize("options", [{}, SPREAD])
+def test_column_names_with_dots(spark, options):
+    fact = spark.createDataFrame([("a", 1)] * 60, "`the.key` string, n int")
+    dimension = spark.createDataFrame([("a", 2)], "`its.key` string, `its.value` int")
+    joined = lookup(fact, dimension, {"the.key": "its.key"}, {"new.value": "its.value"}, **options)
+    assert joined.columns == ["the.key", "n", "new.value"]
+    assert [tuple(row) for row in joined.distinct().collect()] == [("a", 1, 2)]
+
+
 def test_unique(spark):
     fact = spark.createDataFrame([(1,)], "id int")
     doubled = spark.createDataFrame([(1, "a"), (1, "b")], "key int, value string")
