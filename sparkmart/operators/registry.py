@@ -8,19 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators.lookups import lookup
+from sparkmart.sources.documents import FLAGS
 
-# Patterns, length bounds and flags of a data-product record.
+# Patterns and length bounds of a record's fields.
 NAME_PATTERN = r"^[a-z0-9_]+\z"
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
 DESCRIPTION_LENGTH = (10, 200)
-FLAGS = (
-    "code_repository",
-    "keycloak_group",
-    "keycloak_domain_group",
-    "keycloak_product_group",
-    "trino_dev_catalog",
-    "trino_prd_catalog",
-)
 
 
 def record_rules() -> dict[str, Column]:

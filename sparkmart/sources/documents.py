@@ -11,20 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The document's top-level key and the columns of one record.
+# The document's top-level key, and the flags of one record.
 ROOT = "data_products"
+FLAGS = (
+    "code_repository",
+    "keycloak_group",
+    "keycloak_domain_group",
+    "keycloak_product_group",
+    "trino_dev_catalog",
+    "trino_prd_catalog",
+)
 RECORD = T.StructType(
     [
         T.StructField("name", T.StringType()),
         T.StructField("domain", T.StringType()),
         T.StructField("description", T.StringType()),
         T.StructField("admin_emails", T.ArrayType(T.StringType())),
-        T.StructField("code_repository", T.BooleanType()),
-        T.StructField("keycloak_group", T.BooleanType()),
-        T.StructField("keycloak_domain_group", T.BooleanType()),
-        T.StructField("keycloak_product_group", T.BooleanType()),
-        T.StructField("trino_dev_catalog", T.BooleanType()),
-        T.StructField("trino_prd_catalog", T.BooleanType()),
+        *[T.StructField(flag, T.BooleanType()) for flag in FLAGS],
     ]
 )
 

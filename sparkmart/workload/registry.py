@@ -15,6 +15,7 @@ from sparkmart.operators import (
     with_reasons,
 )
 from sparkmart.sources import read_documents, write_documents
+from sparkmart.sources.documents import FLAGS
 from sparkmart.workload.tables import SCHEMAS, load
 from sparkmart.workspace import fresh_folder
 
@@ -141,9 +142,7 @@ ORACLES = {
     "registry_validate": f"{_CHECKED} select doc_id, name, reasons from checked",
     "registry_valid": f"""
         {_CHECKED}
-        select doc_id, name, description, false as code_repository, false as keycloak_group,
-               false as keycloak_domain_group, false as keycloak_product_group,
-               false as trino_dev_catalog, false as trino_prd_catalog
+        select doc_id, name, description, {", ".join(f"false as {flag}" for flag in FLAGS)}
         from checked where reasons = ''
     """,
     "registry_insert_absent": """

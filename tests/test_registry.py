@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 
 from sparkmart.operators import insert_absent, list_keys, new_records, update_columns, validate
-from sparkmart.operators.registry import FLAGS, with_reasons
+from sparkmart.operators.registry import with_reasons
+from sparkmart.sources.documents import FLAGS
 
 RECORD = "name string, domain string, description string, admin_emails array<string>"
 GOOD = ("sales_1", "sales", "ten chars!", ["a.b+c@d-e.org"])
@@ -46,9 +47,9 @@ def test_validation(spark, changes, reasons):
 
 
 def test_new_records_have_false_flags(spark):
-    df = spark.sql("SELECT 'a' AS name, true AS code_repository, cast(null AS boolean) AS keycloak_group")
+    df = spark.sql(f"SELECT 'a' AS name, true AS {FLAGS[0]}, cast(null AS boolean) AS {FLAGS[1]}")
     row = new_records(df).first()
-    assert row.code_repository is True
+    assert row[FLAGS[0]] is True
     assert [row[flag] for flag in FLAGS[1:]] == [False] * 5
 
 

@@ -1,4 +1,6 @@
 import json
+import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -195,17 +197,19 @@ def test_working_folders(spark):
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
 
 
-def test_shared_folder_is_required_on_a_cluster():
-    class Context:
-        master = "spark://host:7077"
-
-    class Session:
-        sparkContext = Context()
+def session_without_setting(master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master=master, applicationId=f"app on {master}"),
+    )
 
-        class conf:
-            @staticmethod
-            def get(key, default):
-                return default
 
+def test_shared_folder_is_required_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+        shared_folder(session_without_setting("spark://host:7077"))
+
+
+def test_local_session_gets_one_folder():
+    session = session_without_setting("local[2]")
+    assert os.path.isdir(shared_folder(session))
+    assert shared_folder(session) == shared_folder(session)
