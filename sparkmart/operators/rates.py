@@ -39,7 +39,9 @@ def cross_rates(rates: DataFrame, pivot: str, slots: int = SLOTS) -> DataFrame:
     to_side = quoted.select(
         F.col("currency").alias("to_currency"),
         F.col("rate").alias("to_rate"),
-        F.pmod(F.xxhash64("currency", "rate"), F.lit(slots)).alias("_slot"),
+        F.pmod(
+            F.xxhash64("currency", "rate", F.spark_partition_id()), F.lit(slots)
+        ).alias("_slot"),
     )
     return from_side.join(to_side, "_slot").select(
         "from_currency",

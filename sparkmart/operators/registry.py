@@ -15,6 +15,8 @@ NAME_PATTERN = r"^[a-z0-9_]+\z"
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\z"
 DESCRIPTION_LENGTH = (10, 200)
 
+COPIES_PER_TASK = 100_000
+
 
 def record_rules() -> dict[str, Column]:
     """Reason for rejection -> the condition a good record meets."""
@@ -66,8 +68,42 @@ def new_records(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
     )
 
 
+def _without(rows: DataFrame, removed: DataFrame, copies_per_task: int) -> DataFrame:
+    """``rows`` less one copy of each row of ``removed``.
+
+    Whole copies shrink to a count before the shuffle. A count too large for one
+    task to write out again is cut into pieces that are spread first.
+    """
+    signed = rows.withColumn("_copies", F.lit(1)).unionByName(
+        removed.withColumn("_copies", F.lit(-1))
+    )
+    left = signed.groupBy(*rows.columns).agg(F.sum("_copies").alias("_copies"))
+    few = left.where(F.col("_copies").between(1, copies_per_task))
+    pieces = (
+        left.where(F.col("_copies") > copies_per_task)
+        .select(
+            "*",
+            F.explode(
+                F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(copies_per_task))
+            ).alias("_start"),
+        )
+        .repartition(*rows.columns, "_start")
+        .withColumn("_copies", F.least(F.col("_copies") - F.col("_start"), F.lit(copies_per_task)))
+        .drop("_start")
+    )
+    return (
+        few.unionByName(pieces)
+        .select(*rows.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
+        .drop("_copy")
+    )
+
+
 def insert_absent(
-    base: DataFrame, new: DataFrame, key: str, arrival: Sequence[str]
+    base: DataFrame,
+    new: DataFrame,
+    key: str,
+    arrival: Sequence[str],
+    copies_per_task: int = COPIES_PER_TASK,
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``new`` into the rows to insert and the refused ones.
 
@@ -85,7 +121,7 @@ def insert_absent(
         .select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in new.columns])
     )
     accepted = earliest.join(base.select(key), key, "left_anti").select(*new.columns)
-    return accepted, new.exceptAll(accepted)
+    return accepted, _without(new, accepted, copies_per_task)
 
 
 def update_columns(

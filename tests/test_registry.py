@@ -74,10 +74,27 @@ def test_insert_absent_against_a_loop(spark):
     assert got[0].columns == got[1].columns == ["name", "arrival", "note"]
 
 
-def test_whole_copies_are_inserted_once(spark):
-    batch = spark.createDataFrame([("a", 1, ["x"])] * 4, "name string, arrival int, tags array<string>")
-    accepted, rejected = insert_absent(batch.select("name").limit(0), batch, "name", ["arrival"])
-    assert (accepted.count(), rejected.count()) == (1, 3)
+@pytest.mark.parametrize("copies_per_task", [1, 7, 100_000])
+def test_whole_copies_are_inserted_once(spark, copies_per_task):
+    batch = [("a", 1, ["x"])] * 50 + [("a", 2, None)] * 20 + [("b", 1, [])] + [(None, 1, ["y"])] * 8
+    new = spark.createDataFrame(batch, "name string, arrival int, tags array<string>")
+    accepted, rejected = insert_absent(
+        spark.createDataFrame([("c",)], "name string"), new, "name", ["arrival"], copies_per_task
+    )
+
+    def counted(df):
+        return Counter((name, arrival, str(tags)) for name, arrival, tags in df.collect())
+
+    assert counted(accepted) == {
+        ("a", 1, "['x']"): 1,
+        ("b", 1, "[]"): 1,
+        (None, 1, "['y']"): 1,
+    }
+    assert counted(rejected) == {
+        ("a", 1, "['x']"): 49,
+        ("a", 2, "None"): 20,
+        (None, 1, "['y']"): 7,
+    }
 
 
 def test_insert_shrinks_hot_keys_before_the_shuffle(spark, plan_of):
