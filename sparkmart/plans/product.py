@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import graphlib
 import posixpath
+import string
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -202,22 +203,41 @@ class Product:
 
     def read(self, name: str, identity: Identity | None, version: Version = None) -> DataFrame:
         """A built relation as ``identity`` may see it under the product's policies."""
-        relation = self._relation_of(self._key(name, version))
-        table = TableName(self.catalog, self.schema, relation)
-        return secure(self.ref(name, version), table, identity, self.policies)
+        return self._governed(self._key(name, version), identity)
+
+    def read_source(self, name: str, identity: Identity | None) -> DataFrame:
+        """A source as ``identity`` may see it."""
+        source = self._sources[name]
+        table = TableName(source.catalog or self.catalog, source.schema, source.table)
+        return secure(self.source(name), table, identity, self.policies)
+
+    def sql(self, text: str, identity: Identity | None = None) -> DataFrame:
+        """Query built relations and sources, each named in braces, as ``identity``."""
+        names = {field for _, field, _, _ in string.Formatter().parse(text) if field}
+        by_relation = {self._relation_of(key): key for key in self._built}
+        frames = {}
+        for name in names:
+            if name in by_relation:
+                frames[name] = self._governed(by_relation[name], identity)
+            elif name in self._sources:
+                frames[name] = self.read_source(name, identity)
+            else:
+                frames[name] = self.read(name, identity)
+        return self.spark.sql(text, **frames)
 
-    def sql(self, text: str) -> DataFrame:
-        """Query built relations and sources, each named in braces."""
-        return self.spark.sql(text.format_map(self._placeholders()))
+    def _governed(self, key: tuple[str, str | None], identity: Identity | None) -> DataFrame:
+        table = TableName(self.catalog, self.schema, self._relation_of(key))
+        return secure(self.ref(*key), table, identity, self.policies)
 
     def _placeholders(self) -> dict[str, str]:
+        """What SQL models may name in braces: sources, relations, latest versions."""
         names = {name: table.full_name for name, table in self._sources.items()}
+        for name, version in self._built:
+            latest = self._built.get(self._key(name))
+            if latest:
+                names[name] = latest
         for key, stored in self._built.items():
             names[self._relation_of(key)] = stored
-        for name in {name for name, _ in self._built}:
-            stored = self._built.get(self._key(name))
-            if stored:
-                names[name] = stored
         return names
 
     def relations(self, **meta: str) -> dict[str, Model]:

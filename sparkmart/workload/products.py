@@ -7,7 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.operators import Contract, ContractColumn
+from sparkmart.operators import (
+    ColumnMask,
+    Contract,
+    ContractColumn,
+    Identity,
+    RowFilter,
+    TableName,
+    tail_mask,
+)
 from sparkmart.operators import cross_rates as rate_matrix
 from sparkmart.plans import Product, convert, monthly, stage
 from sparkmart.workload import rates, sales
@@ -171,6 +179,22 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def adhoc_sql_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same kind of question from a user who may not see everything."""
+    product = Product(spark, "sparkmart_adhoc")
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
+    customer = TableName(product.catalog, "sparkmart_lake", "customer")
+    product.policies += [
+        RowFilter(customer, "c_mktsegment <> 'BUILDING'"),
+        ColumnMask(customer, "c_name", tail_mask("c_name")),
+    ]
+    return product.sql(
+        "select c_mktsegment, right(c_name, 1) as last_digit, count(*) as customers, "
+        "count(distinct c_name) as names from {customers} group by all",
+        Identity("analyst"),
+    )
+
+
 QUERIES = {
     "model_chain_view": model_chain_view,
     "model_chain_sql": model_chain_sql,
@@ -179,6 +203,7 @@ QUERIES = {
     "model_versions": model_versions,
     "model_output_ports": model_output_ports,
     "adhoc_sql": adhoc_sql,
+    "adhoc_sql_governed": adhoc_sql_governed,
 }
 
 _BY_NATION = """
@@ -216,4 +241,9 @@ ORACLES = {
                cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(18,2)) as balance
         from customer group by c_mktsegment
     """,
+    "adhoc_sql_governed": """
+        select c_mktsegment, right(c_name, 1) as last_digit, count(*) as customers,
+               count(distinct right(c_name, 3)) as names
+        from customer where c_mktsegment <> 'BUILDING' group by 1, 2
+    """,
 }

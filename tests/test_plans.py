@@ -58,3 +58,10 @@ def test_no_cross_joins_python_or_single_task_windows(plan, name):
 @pytest.mark.parametrize("name", ["policy_row_filter", "policy_no_identity"])
 def test_row_filter_is_pushed(plan, name):
     assert "Not(EqualTo(c_mktsegment,BUILDING))" in plan(name)
+
+
+def test_insert_counts_the_batch_once(spark, sf_dir, plan_of):
+    outcome = QUERIES["registry_insert_absent"](spark, sf_dir)
+    outcome.collect()
+    final = plan_of(outcome, "simple").split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 2

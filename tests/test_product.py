@@ -200,6 +200,27 @@ def test_governed_read(spark, product):
     assert product.read("numbers", Identity("admin")).count() == 5
 
 
+def test_governed_sql(spark, product):
+    product.seed("numbers", numbers)
+    for version in (1, 2):
+        product.model(
+            "m", refs=["numbers"], version=version, sql="select n, %d as v from {numbers}" % version
+        )
+    product.build()
+    product.declare_source("outside", SourceTable("numbers", product.schema))
+    product.policies += [
+        RowFilter(TableName("spark_catalog", product.schema, "numbers"), "n > 2"),
+        RowFilter(TableName("spark_catalog", product.schema, "m_v2"), "n > 3"),
+    ]
+    text = "select (select count(*) from {numbers}), (select count(*) from {outside}), " \
+        "(select count(*) from {m}), (select count(*) from {m_v1})"
+    assert tuple(product.sql(text).first()) == (2, 2, 1, 5)
+    assert tuple(product.sql(text, Identity("analyst")).first()) == (2, 2, 1, 5)
+    assert tuple(product.sql(text, Identity("admin")).first()) == (5, 5, 5, 5)
+    with pytest.raises(KeyError, match="nothing"):
+        product.sql("select * from {nothing}")
+
+
 def test_cycle_raises(product):
     product.model("a", refs=["b"], sql="select * from {b}")
     product.model("b", refs=["a"], sql="select * from {a}")
