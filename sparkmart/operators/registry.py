@@ -39,7 +39,9 @@ def with_reasons(df: DataFrame, rules: Mapping[str, Column] | None = None) -> Da
         F.when(~F.coalesce(condition, F.lit(False)), F.lit(reason))
         for reason, condition in rules.items()
     ]
-    return df.withColumn("reasons", F.array_compact(F.array(*failed)))
+    # Drops the NULLs inside generated code, which array_compact would leave.
+    nothing = F.array(F.lit(None).cast("string"))
+    return df.withColumn("reasons", F.array_except(F.array(*failed), nothing))
 
 
 def validate(
@@ -134,8 +136,9 @@ def update_columns(
     """Overwrite ``columns`` of the rows that ``updates`` names.
 
     Gives the updated base and the updates with an unknown key. An explicit NULL
-    overwrites. Few updates are broadcast, so the base is not shuffled. Of several updates for a key the last by ``order`` counts; without
-    an order each key may come once, which is then the caller's promise.
+    overwrites. Of several updates for a key the last by ``order`` counts; without
+    an order the caller promises that each key comes once. Few updates are
+    broadcast, and the base is then not shuffled.
     """
     missing = [c for c in columns if c not in base.columns or c not in updates.columns]
     if missing:
