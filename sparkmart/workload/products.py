@@ -59,8 +59,9 @@ def model_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three views in SQL text, stored in the catalog, each built on the one before."""
     product = Product(spark, "sparkmart_chain_sql")
     product.seed("nations", lambda spark: load(spark, sf_dir, "nation"))
-    product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_lake"))
-    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
+    lake = "sparkmart_chain_sql_lake"
+    product.declare_source("orders", lay_table(spark, sf_dir, "orders", lake))
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", lake))
     product.model(
         "spending",
         sql="select c_nationkey, o_orderpriority, cast(o_totalprice as decimal(18,2)) as price "
@@ -85,7 +86,7 @@ def model_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product built into two namespaces."""
     parts = []
-    customers = lay_table(spark, sf_dir, "customer", "sparkmart_lake")
+    customers = lay_table(spark, sf_dir, "customer", "sparkmart_namespaces_lake")
     for schema in ("sparkmart_dev", "sparkmart_prod"):
         product = Product(spark, schema)
         product.seed("nations", lambda spark: load(spark, sf_dir, "nation"))
@@ -144,7 +145,7 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the relations tagged as output ports."""
     product = Product(spark, "sparkmart_ports")
-    product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_lake"))
+    product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_ports_lake"))
     port = {"output_port": "true", "brand_content": "glb"}
     product.model(
         "open_orders",
@@ -171,7 +172,7 @@ def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question in SQL to a product's source."""
     product = Product(spark, "sparkmart_adhoc")
-    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_adhoc_lake"))
     return product.sql(
         "select c_mktsegment, count(*) as customers, "
         "cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(18,2)) as balance "
@@ -181,9 +182,10 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def adhoc_sql_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same kind of question from a user who may not see everything."""
-    product = Product(spark, "sparkmart_adhoc")
-    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_lake"))
-    customer = TableName(product.catalog, "sparkmart_lake", "customer")
+    product = Product(spark, "sparkmart_governed")
+    lake = "sparkmart_governed_lake"
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", lake))
+    customer = TableName(product.catalog, lake, "customer")
     product.policies += [
         RowFilter(customer, "c_mktsegment <> 'BUILDING'"),
         ColumnMask(customer, "c_name", tail_mask("c_name")),

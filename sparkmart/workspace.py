@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -20,11 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     would vanish with the machine that holds it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    local = context.master.startswith("local")
+    if configured and ("://" in configured or configured.startswith("/")):
+        return configured.rstrip("/")
+    if configured and local:
+        return os.path.abspath(configured)
+    if not local:
+        raise ValueError("set spark.checkpoint.dir to the full path of a shared folder")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="sparkmart-")
     return _local_folders[context.applicationId]

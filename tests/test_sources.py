@@ -197,19 +197,27 @@ def test_working_folders(spark):
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
 
 
-def session_without_setting(master):
+def session(master, folder=None):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
+        conf=SimpleNamespace(get=lambda key, default: folder or default),
         sparkContext=SimpleNamespace(master=master, applicationId=f"app on {master}"),
     )
 
 
-def test_shared_folder_is_required_on_a_cluster():
+@pytest.mark.parametrize("folder", [None, "relative/folder"])
+def test_shared_folder_is_required_on_a_cluster(folder):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_without_setting("spark://host:7077"))
+        shared_folder(session("spark://host:7077", folder))
+
+
+def test_shared_folder_is_the_configured_one():
+    for master in ("spark://host:7077", "local[2]"):
+        assert shared_folder(session(master, "s3a://bucket/x/")) == "s3a://bucket/x"
+        assert shared_folder(session(master, "/shared/x")) == "/shared/x"
+    assert shared_folder(session("local[2]", "x")) == os.path.abspath("x")
 
 
 def test_local_session_gets_one_folder():
-    session = session_without_setting("local[2]")
-    assert os.path.isdir(shared_folder(session))
-    assert shared_folder(session) == shared_folder(session)
+    alone = session("local[2]")
+    assert os.path.isdir(shared_folder(alone))
+    assert shared_folder(alone) == shared_folder(alone)
