@@ -172,7 +172,8 @@ def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question in SQL to a product's source."""
     product = Product(spark, "sparkmart_adhoc")
-    product.declare_source("customers", lay_table(spark, sf_dir, "customer", "sparkmart_adhoc_lake"))
+    lake = "sparkmart_adhoc_lake"
+    product.declare_source("customers", lay_table(spark, sf_dir, "customer", lake))
     return product.sql(
         "select c_mktsegment, count(*) as customers, "
         "cast(sum(cast(c_acctbal as decimal(18,2))) as decimal(18,2)) as balance "

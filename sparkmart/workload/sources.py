@@ -134,7 +134,8 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the sound records of event payloads that lack a number at times."""
-    payload = F.when(F.col("event_type") != "error", F.col("props")).otherwise(F.lit('{"k": "n/a"}'))
+    broken = F.lit('{"k": "n/a"}')
+    payload = F.when(F.col("event_type") != "error", F.col("props")).otherwise(broken)
     raw = load(spark, sf_dir, "events").select(payload.alias("payload"))
     typed, _ = read_raw(raw, struct_from_json_schema(COUNTER_SCHEMA))
     return typed.groupBy("k").agg(F.count("*").alias("events"))

@@ -15,7 +15,7 @@ SPREAD = {"broadcast_bytes": 0, "rows_per_task": 50}
 def brute_force(fact, dimension, fold=lambda key: key):
     out = Counter()
     for number, key in fact:
-        hits = [v for k, v in dimension if key is not None and k is not None and fold(k) == fold(key)]
+        hits = [v for k, v in dimension if None not in (k, key) and fold(k) == fold(key)]
         for value in hits or [None]:
             out[(number, key, value)] += 1
     return out
@@ -101,9 +101,8 @@ def test_large_dimension_is_not_broadcast(spark, plan_of):
 def test_hot_rows_are_spread_over_slots(tables):
     _, _, fact_df, _ = tables
     hot = {row._key_hash: row._slots for row in lookups._hot_keys(fact_df, ["code"], 50).collect()}
-    hashes = {
-        row.code: row.h for row in fact_df.select("code", F.xxhash64("code").alias("h")).distinct().collect()
-    }
+    hashed = fact_df.select("code", F.xxhash64("code").alias("h")).distinct()
+    hashes = {row.code: row.h for row in hashed.collect()}
     assert hot[hashes["hot"]] == 10
     assert hot[hashes[None]] == 4
     assert len(hot) == 2
