@@ -78,14 +78,15 @@ def lookup(
     normalise: Callable[[Column], Column] = lambda key: key,
     unique: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """All columns of ``fact`` plus columns of the matching dimension row.
 
     ``keys`` maps fact columns to dimension columns, ``take`` maps new column
     names to dimension columns, and ``normalise`` is put on both key sides. A fact
     row without a match gets NULLs, one with several matches is repeated; with
-    ``unique`` a dimension that holds a key twice is refused.
+    ``unique`` a dimension that holds a key twice is refused. Keys with more than
+    ``rows_per_task`` fact rows are spread; None tells that the fact has none such.
     """
     key_names = [f"_key_{i}" for i in range(len(keys))]
     left = fact.select(
@@ -97,6 +98,8 @@ def lookup(
     )
     if _measure(right, key_names, unique) <= broadcast_bytes:
         joined = left.join(F.broadcast(right), key_names, "left")
+    elif rows_per_task is None:
+        joined = left.join(right, key_names, "left")
     else:
         joined = _spread_join(left, right, key_names, rows_per_task)
     return joined.select(*[_named(name) for name in [*fact.columns, *take]])

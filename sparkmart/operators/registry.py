@@ -150,7 +150,8 @@ def update_columns(
         .select(key, *[F.col(f"_new.{c}") for c in columns], F.lit(True).alias("_hit"))
     )
     fresh = {f"_new_{c}": c for c in columns}
-    matched = lookup(base, last, {key: key}, {**fresh, "_hit": "_hit"})
+    # The base holds each key once, so no key of it need be spread.
+    matched = lookup(base, last, {key: key}, {**fresh, "_hit": "_hit"}, rows_per_task=None)
     updated = matched.select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)

@@ -41,7 +41,10 @@ def tables(spark):
     )
 
 
-@pytest.mark.parametrize("options", [{}, SPREAD, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize(
+    "options",
+    [{}, SPREAD, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "rows_per_task": None}],
+)
 def test_lookup_matches_brute_force(tables, options):
     fact, dimension, fact_df, dimension_df = tables
     joined = lookup(fact_df, dimension_df, {"code": "key"}, {"found": "value"}, **options)
