@@ -3,7 +3,7 @@
 BENCH_SF_DIR  folder of the test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_ALL     1 times every registered query
-BENCH_RUNS    timed runs per query after two warm-ups (default 3)
+BENCH_RUNS    timed rounds over all queries after two warm-up rounds (default 3)
 """
 
 from __future__ import annotations
@@ -57,14 +57,14 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = workload.queries()
-    seconds = {}
-    for name in registered if os.environ.get("BENCH_ALL") == "1" else HEADLINE:
-        taken = []
-        for _ in range(runs + 2):
+    names = list(registered) if os.environ.get("BENCH_ALL") == "1" else HEADLINE
+    taken = {name: [] for name in names}
+    for _ in range(runs + 2):
+        for name in names:
             start = time.perf_counter()
             registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(taken[2:]), 3)
+            taken[name].append(time.perf_counter() - start)
+    seconds = {name: round(statistics.median(times[2:]), 3) for name, times in taken.items()}
     spark.stop()
     print(
         json.dumps(
