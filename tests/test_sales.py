@@ -1,4 +1,4 @@
-"""The sales models on hand-made rows, with totals worked out by hand."""
+"""The sales models on hand-made rows, against the totals in FIXTURES.md."""
 
 import datetime as dt
 from decimal import Decimal
