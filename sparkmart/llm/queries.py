@@ -5,12 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm.common import table
+from sparkmart.llm.line_dedup import kept_digests
 from sparkmart.llm.near_duplicates import near_duplicates
+from sparkmart.llm.quality import score_documents
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_digests(table(spark, sf_dir, "documents"))
+
+
+OP8 = f"""
+with lines as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+    from documents
+),
+keyed as (
+    select *, regexp_replace({_LOWER.replace("text", "line")},
+        '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') as key
+    from lines
+),
+repeated as (
+    select key, max(doc_id) as keeper from keyed where length(key) >= 20
+    group by key having count(distinct doc_id) >= 3
+),
+marked as (
+    select k.*, r.key is not null and k.doc_id <> r.keeper as dropped
+    from keyed k left join repeated r on k.key = r.key
+)
+select doc_id, count(*) as n_lines,
+       cast(sum(case when dropped then 1 else 0 end) as bigint) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not dropped), ''))
+           as kept_sha256
+from marked group by doc_id
+"""
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,8 +84,11 @@ from shingled s join lowest l on s.doc_id = l.doc_id
 """
 
 QUERIES = {
+    "op4_quality_classifier": op4_quality_classifier,
+    "op8_line_dedup": op8_line_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 ORACLES = {
+    "op8_line_dedup": OP8,
     "op9_minhash_near_dedup": OP9,
 }
