@@ -5,16 +5,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm.common import table
+from sparkmart.llm.decontamination import contaminated
 from sparkmart.llm.line_dedup import kept_digests
 from sparkmart.llm.near_duplicates import near_duplicates
-from sparkmart.llm.quality import score_documents
+from sparkmart.llm.packing import pack
+from sparkmart.llm.quality import score_documents as quality_scores
+from sparkmart.llm.sharding import SHARDS, SLOTS, place
+from sparkmart.llm.toxicity import score_documents as toxicity_scores
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return place(docs, "doc_id")
+
+
+OP7 = f"""
+with recursive
+shards as (
+    select unnest({list(SHARDS)}) as shard, unnest(range({len(SHARDS)})) as turn
+),
+walks as (
+    select list(start order by turn) as starts, list(skip order by turn) as skips
+    from (select turn,
+            ('0x' || substr(md5(shard || '/offset'), 1, 15))::bigint % {SLOTS} as start,
+            ('0x' || substr(md5(shard || '/skip'), 1, 15))::bigint % {SLOTS - 1} + 1 as skip
+          from shards)
+),
+claims as (
+    select -1 as turn, cast(null as bigint) as slot, list_transform(range({SLOTS}), lambda x: false) as taken
+    from walks
+    union all
+    select turn + 1, slot, list_transform(range({SLOTS}), lambda x: taken[x + 1] or x = slot)
+    from (
+        select c.turn, c.taken,
+            list_filter(
+                list_transform(range({SLOTS}), lambda j:
+                    (starts[1 + (c.turn + 1) % {len(SHARDS)}]
+                     + j * skips[1 + (c.turn + 1) % {len(SHARDS)}]) % {SLOTS}),
+                lambda x: not c.taken[x + 1])[1] as slot
+        from claims c, walks where c.turn + 1 < {SLOTS}
+    )
+)
+select d.doc_id, d.source, d.n_chars, cast(c.slot as integer) as shard_slot, s.shard
+from documents d
+join claims c on c.slot =
+    ('0x' || substr(md5(coalesce(cast(d.doc_id as varchar), '')), 1, 15))::bigint % {SLOTS}
+join shards s on s.turn = c.turn % {len(SHARDS)}
+"""
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,12 +135,21 @@ select s.doc_id, cast(len(s.s) as bigint) as n_shingles, l.component_id,
 from shingled s join lowest l on s.doc_id = l.doc_id
 """
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op7_sharding": op7_sharding,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op8_line_dedup": op8_line_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
+    "op7_sharding": OP7,
     "op8_line_dedup": OP8,
     "op9_minhash_near_dedup": OP9,
 }
