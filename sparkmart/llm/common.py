@@ -93,3 +93,24 @@ def labelled_sample(
     return docs.select("doc_id", "text").join(
         F.broadcast(known), F.col("doc_id") == F.col("labelled_id")
     ).select("doc_id", "text", "y", "fold")
+
+
+def among(df: DataFrame, column: str, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may be an id of the one-column ``ids``.
+
+    A Bloom filter in DataFrame form: one hash into ``bits`` bits, sent as a table of at most
+    ``bits / 64`` rows whatever the number of ids. Rows that pass must still be joined; it only
+    spares those that cannot match the shuffle. Null ids do not pass.
+    """
+    spot = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
+    marks = (
+        ids.select(F.shiftright(spot, 6).alias("_word"), (spot % 64).cast("int").alias("_bit"))
+        .groupBy("_word")
+        .agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    )
+    own = F.pmod(F.xxhash64(column), F.lit(bits))
+    marked = df.withColumn("_spot", own).join(
+        F.broadcast(marks), F.shiftright("_spot", 6) == F.col("_word")
+    )
+    hit = F.expr("shiftrightunsigned(_bits, cast(_spot % 64 as int)) & 1") == 1
+    return marked.where(hit & F.col(column).isNotNull()).select(*(df[c] for c in df.columns))

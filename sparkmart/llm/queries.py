@@ -6,21 +6,61 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.llm.common import table
 from sparkmart.llm.decontamination import contaminated
+from sparkmart.llm.language_model import score_documents as language_model_scores
 from sparkmart.llm.line_dedup import kept_digests
 from sparkmart.llm.near_duplicates import near_duplicates
 from sparkmart.llm.packing import pack
 from sparkmart.llm.quality import score_documents as quality_scores
+from sparkmart.llm.quality_rules import apply_rules
 from sparkmart.llm.sharding import SHARDS, SLOTS, place
 from sparkmart.llm.toxicity import score_documents as toxicity_scores
+from sparkmart.llm.warc import FIRST_CAPTURE, archive_pages
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+_BASE32 = """
+array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + cast((('0x' || substr(sha, 1 + 5 * (i // 4), 5))::int >> (15 - 5 * (i % 4))) & 31 as int),
+        1)), '')
+"""
+OP1 = f"""
+with payloads as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as sha,
+        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^#]*)', ['host', 'rest']) as p
+    from pages
+),
+firsts as (select payload, min(page_id) as first from payloads group by payload),
+keyed as (
+    select p.*, first,
+        array_to_string(list_reverse(string_split(
+            regexp_replace(lower(p['host']), '^www[.]', ''), '.')), ',')
+        || ')' || case when p['rest'] = '' then '/' else p['rest'] end as url_key
+    from payloads p join firsts f on p.payload = f.payload
+)
+select page_id, cast(strlen(payload) as bigint) as payload_bytes, {_BASE32} as payload_digest,
+    case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to,
+    url_key, {FIRST_CAPTURE} + page_id as captured_at,
+    row_number() over (order by url_key, page_id) - 1 as index_position
+from keyed
+"""
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +69,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     return place(docs, "doc_id")
@@ -140,6 +184,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_lm_scoring": op3_lm_scoring,
+    "op1_warc_index": op1_warc_index,
+    "op6_quality_rules": op6_quality_rules,
     "op2_toxicity": op2_toxicity,
     "op7_sharding": op7_sharding,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -149,6 +196,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLES = {
+    "op1_warc_index": OP1,
     "op7_sharding": OP7,
     "op8_line_dedup": OP8,
     "op9_minhash_near_dedup": OP9,

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-BANDS = 40
+BANDS = 32
 ROWS = 4
 BINS = BANDS * ROWS
 
