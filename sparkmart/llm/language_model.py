@@ -41,7 +41,7 @@ BLOCK_TOKENS = 2_000_000
 BATCH_TOKENS = 16_384
 ROUNDS = 2
 TRAIN_TASKS = 1_024
-RATE = 0.3
+RATE = 0.1
 # The end of a text as a token; no word can hold a line break.
 END = b"\n"
 FOLDS, HELD_FOLD = 7, 2
