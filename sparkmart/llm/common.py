@@ -95,13 +95,15 @@ def labelled_sample(
     ).select("doc_id", "text", "y", "fold")
 
 
-def among(df: DataFrame, column: str, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
+def among(df: DataFrame, column: str, ids: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
     """The rows of ``df`` whose ``column`` may be an id of the one-column ``ids``.
 
-    A Bloom filter in DataFrame form: one hash into ``bits`` bits, sent as a table of at most
-    ``bits / 64`` rows whatever the number of ids. Rows that pass must still be joined; it only
-    spares those that cannot match the shuffle. Null ids do not pass.
+    A Bloom filter in DataFrame form: one hash into 16 bits per id, at most ``most_bits``, sent
+    as a table of 64 bits per row; so at most a million rows are sent, whatever the number of ids.
+    Rows that pass must still be joined; it only spares those that cannot match the shuffle.
+    Null ids do not pass.
     """
+    bits = min(most_bits, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
     spot = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
     marks = (
         ids.select(F.shiftright(spot, 6).alias("_word"), (spot % 64).cast("int").alias("_bit"))

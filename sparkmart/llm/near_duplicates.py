@@ -262,9 +262,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         members.groupBy("bucket")
         .agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"))
         .where("centre <> last")
+        .select("bucket", "centre")
     )
+    # Most buckets hold one class; their rows are spared the second shuffle.
+    centres = stored(centres, "centres")
     crowded = stored(
-        members.join(centres.select("bucket", "centre"), "bucket"), "crowded-buckets"
+        among(members, "bucket", centres.select("bucket")).join(centres, "bucket"),
+        "crowded-buckets",
     )
     edges = stored(
         crowded.where("doc_id <> centre")
@@ -273,12 +277,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         "star-edges",
     )
     asked = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-    texts = stored(
-        among(source, "doc_id", asked)
-        .join(asked, "doc_id", "left_semi")
-        .dropDuplicates(["doc_id", "text"]),
-        "candidate-texts",
-    )
+    # The filter lets some texts through that no edge names; the joins do not find them.
+    texts = stored(among(source, "doc_id", asked), "candidate-texts")
     links = stored(_confirmed(edges, texts, percent), "links")
     labels = components(links)
 
@@ -323,8 +323,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def _confirmed(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     with_member = edges.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    centres = among(texts, "doc_id", edges.select("a").distinct())
     with_both = with_member.join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
+        centres.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
     ).select("a", "b", "text_a", "text_b")
     return map_arrow(with_both, _confirm_edges(percent), "a bigint, b bigint")
 
