@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ CLASSES = MEMBERS = 16
 CELLS = CLASSES * MEMBERS
 HEAD = 128
 TABLE = 1 << 16
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 4_000_000
 BATCH_TOKENS = 16_384
 ROUNDS = 2
 TRAIN_TASKS = 1_024
@@ -47,10 +48,11 @@ END = b"\n"
 FOLDS, HELD_FOLD = 7, 2
 
 _CHUNKS = 64
+_ONES = np.ones(MEMBERS, np.float32)
 _SEEDS = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _BLOCKS = (
     "block bigint, doc_ids array<bigint>, held array<boolean>, ends array<int>, tokens binary, "
-    "hashes binary, cells binary, local int, word binary, n bigint"
+    "hashes binary, cells binary, local int, word binary, cell int, n bigint"
 )
 
 
@@ -66,6 +68,17 @@ def spelled_cells(words: list[bytes]) -> np.ndarray:
     return (HEAD + mixed(tails) % np.uint64(CELLS - HEAD)).astype(np.uint8)
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """Numbers below 2**24 or not, by byte planes: the high ones are nearly all zero."""
+    planes = tokens.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+
+
 class _BlockBuilder:
     def __init__(self, number: int):
         self.number = number
@@ -100,6 +113,7 @@ class _BlockBuilder:
                     pa.binary(),
                     pa.int32(),
                     pa.binary(),
+                    pa.int32(),
                     pa.int64(),
                 ],
                 strict=True,
@@ -110,12 +124,13 @@ class _BlockBuilder:
             [self.doc_ids],
             [self.held],
             [self.ends],
-            [tokens.tobytes()],
+            [_packed(tokens)],
             [word_hashes(words).tobytes()],
             [cells.tobytes()],
             [None],
             [None],
             [None],
+            [None],
         ]
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, f.type) for v, f in zip(whole, schema, strict=True)], schema=schema
@@ -127,11 +142,10 @@ class _BlockBuilder:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(some), self.number)),
-                    *(rows.cast(schema.field(place).type) for place in range(1, 6)),
-                    # The member of a word row is one byte, for the members' totals.
-                    pa.array([cells[start + i : start + i + 1].tobytes() for i in range(len(some))]),
+                    *(rows.cast(schema.field(place).type) for place in range(1, 7)),
                     pa.array(np.arange(start, start + len(some), dtype=np.int32)),
                     pa.array(some, pa.binary()),
+                    pa.array(cells[start : start + len(some)].astype(np.int32)),
                     pa.array(counts[start : start + len(some)]),
                 ],
                 schema=schema,
@@ -177,7 +191,7 @@ class _Block:
             hit = heads[order][spot] == hashes
             cells[hit] = order[spot[hit]]
         return cls(
-            np.frombuffer(row["tokens"], np.int32),
+            _unpacked(row["tokens"]),
             np.array(row["ends"], np.int64),
             np.array(row["held"], bool),
             hashes,
@@ -205,7 +219,7 @@ class _Block:
             two * _SEEDS[1] + np.uint64(3),
             three * _SEEDS[2] + np.uint64(4),
         )
-        return np.stack([(mixed(kind) >> np.uint64(48)).astype(np.int64) for kind in kinds])
+        return np.stack([(mixed(kind) >> np.uint64(48)).astype(np.uint16) for kind in kinds])
 
 
 class _Weights:
@@ -222,27 +236,27 @@ class _Weights:
 
     @staticmethod
     def lower_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        return (features + (classes + 1) * 40_503) & (TABLE - 1)
+        # 16-bit numbers wrap around, as the table has 2**16 rows.
+        return features + ((classes + 1) * 40_503).astype(np.uint16)
 
     @staticmethod
     def _softmax(sums: np.ndarray) -> np.ndarray:
-        sums -= sums.max(axis=1, keepdims=True)
+        np.clip(sums, -40, 40, out=sums)
         np.exp(sums, out=sums)
-        sums /= sums.sum(axis=1, keepdims=True)
+        sums /= (sums @ _ONES)[:, None]
         return sums
 
     def chances(self, features: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, ...]:
         """The two softmaxes, and the table rows that the lower one used."""
         classes = cells // MEMBERS
-        upper = self.upper[features[0]]
+        upper = np.take(self.upper, features[0], axis=0)
         for kind in features[1:]:
-            upper += self.upper[kind]
+            upper += np.take(self.upper, kind, axis=0)
         upper += self.upper_bias
         rows = self.lower_rows(features, classes)
-        lower = self.lower[rows[0]]
-        for kind in rows[1:]:
-            lower += self.lower[kind]
-        lower += self.lower_bias[classes]
+        lower = np.take(self.lower_bias, classes, axis=0)
+        for kind in rows:
+            lower += np.take(self.lower, kind, axis=0)
         return self._softmax(upper), self._softmax(lower), rows
 
     def log10(self, features: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -252,11 +266,13 @@ class _Weights:
 
 
 def _grouped(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their values."""
+    """Distinct rows (16-bit, so that sorting is by radix) and the sums of their values."""
     order = np.argsort(rows, kind="stable")
-    ordered = rows[order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.add.reduceat(values[order], first, axis=0)
+    ordered = np.take(rows, order)
+    last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
+    running = np.take(np.cumsum(np.take(values, order, axis=0), axis=0), last, axis=0)
+    running[1:] -= running[:-1].copy()
+    return ordered[last], running
 
 
 class _Trainer:
@@ -265,12 +281,18 @@ class _Trainer:
     def __init__(self, start: np.ndarray):
         self.weights = _Weights(start)
         self.squares = _Weights()
+        self.steps = 0
 
     def _move(self, part: str, rows: np.ndarray, gradient: np.ndarray) -> None:
         squares, weights = getattr(self.squares, part), getattr(self.weights, part)
-        total = squares[rows] + gradient * gradient
+        total = np.take(squares, rows, axis=0)
+        total += gradient * gradient
         squares[rows] = total
-        weights[rows] -= RATE * gradient / np.sqrt(total + 1e-6)
+        total += np.float32(1e-6)
+        np.sqrt(total, out=total)
+        gradient *= np.float32(RATE)
+        gradient /= total
+        weights[rows] = np.take(weights, rows, axis=0) - gradient
 
     def step(self, features: np.ndarray, cells: np.ndarray) -> None:
         upper, lower, rows = self.weights.chances(features, cells)
@@ -282,11 +304,13 @@ class _Trainer:
         scale = np.float32(1 / np.sqrt(len(cells)))
         upper *= scale
         lower *= scale
-        for kind in range(len(features)):
+        # Block coordinates: a step moves every other kind of feature, the next step the rest.
+        self.steps += 1
+        for kind in range(self.steps % 2, len(features), 2):
             self._move("upper", *_grouped(features[kind], upper))
             self._move("lower", *_grouped(rows[kind], lower))
         self._move("upper_bias", np.zeros(1, np.int64), upper.sum(axis=0, keepdims=True))
-        self._move("lower_bias", *_grouped(classes, lower))
+        self._move("lower_bias", *_grouped(classes.astype(np.uint16), lower))
 
 
 def _train_blocks(start: np.ndarray, heads: np.ndarray):
@@ -312,7 +336,7 @@ def _train_blocks(start: np.ndarray, heads: np.ndarray):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(_CHUNKS), pa.int32()),
-                pa.array([part.tobytes() for part in change], pa.binary()),
+                pa.array([part.astype(np.float16).tobytes() for part in change], pa.binary()),
                 pa.array([np.packbits(part).tobytes() for part in touched], pa.binary()),
             ],
             ["chunk", "change", "touched"],
@@ -328,7 +352,7 @@ def _average(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Ite
         for change, touched in zip(
             batch.column("change").to_pylist(), batch.column("touched").to_pylist(), strict=True
         ):
-            one = np.frombuffer(change, np.float32).astype(np.float64)
+            one = np.frombuffer(change, np.float16).astype(np.float64)
             mark = np.unpackbits(np.frombuffer(touched, np.uint8), count=len(one))
             total = one if total is None else total + one
             times = mark.astype(np.int64) if times is None else times + mark
@@ -407,14 +431,14 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFr
     )
     by_word = Window.partitionBy("word").orderBy("block")
     everywhere = by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    words = built.where("word is not null").select("block", "local", "word", "cells", "n")
+    words = built.where("word is not null").select("block", "local", "word", "cell", "n")
     counts = stored(
         words.select(
             "block",
             "local",
             F.sum("n").over(everywhere).alias("total"),
             (F.row_number().over(by_word) == 1).alias("first"),
-            F.expr("cast(conv(hex(cells), 16, 10) as int)").alias("cell"),
+            "cell",
         ),
         "lm-counts",
     )
