@@ -38,7 +38,7 @@ CLASSES = MEMBERS = 16
 CELLS = CLASSES * MEMBERS
 HEAD = 128
 TABLE = 1 << 16
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_500_000
 BATCH_TOKENS = 16_384
 ROUNDS = 2
 TRAIN_TASKS = 1_024
