@@ -4,8 +4,8 @@
    runs as one space). Spark counts, per bucket, the toxic and the other documents that have it.
 2. r = log ((p + a) / |p|) - log ((q + a) / |q|) is the bucket's log-count ratio (Wang and
    Manning). Buckets whose ratio stands out from its standard error are features.
-3. Logistic regression on r for present features is trained by full-gradient steps: each task sums
-   the gradient over its rows, the driver adds a few vectors and moves on.
+3. Logistic regression on r for present features: each task takes gradient steps (Adam) over its own
+   rows, the driver averages a few vectors, and the next round goes on from the mean.
 4. Scoring looks up r times the weight for each n-gram of the whole text, once per bucket.
 
 The classifier is fitted on at most ``max_rows`` labelled documents; every document is scored.
@@ -19,82 +19,68 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import id_remainder, labelled_sample, map_arrow, stored
-from sparkmart.llm.shingles import mixed
 
 MAX_ROWS = 50_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
-MOST_FEATURES = 1 << 15
-STANDS_OUT = 3.0
+MOST_FEATURES = 1 << 14
+STANDS_OUT = 3.5
 SMOOTHING = 1.0
-STEPS = 40
+ROUNDS = 4
+STEPS = 15
 FIT_TASKS = 8
+RATE = 0.1
 PENALTY = 1e-4
 TOXIC_FROM = 0.5
-# Texts are hashed together up to so many characters; longer ones in overlapping slices.
-SLICE = 1_000_000
+# A longer text is hashed in slices that overlap by less than an n-gram.
+SLICE = 250_000
 
 _SPACES = re.compile(r"\s+")
 _FACTOR = np.uint64(0x100000001B3)
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _ngram_buckets(codes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(owner, bucket) of all n-grams of each size that lie within one owner's characters."""
-    rolled = codes.copy()
-    for size in range(2, max(SIZES) + 1):
-        rolled = rolled[:-1] * _FACTOR + codes[size - 1 :]
-        if size in SIZES and len(rolled):
-            whole = owner[size - 1 :] == owner[: len(owner) - size + 1]
-            hashes = mixed(rolled[whole] + np.uint64(size))
-            yield owner[size - 1 :][whole], (hashes >> np.uint64(44)).astype(np.int64)
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(codes, owner) of bounded size; an owner is a text's place in the list."""
-    held, owners, size = [], [], 0
-    for owner, text in enumerate(texts):
-        flat = _SPACES.sub(" ", f" {text or ''} ").lower()
-        codes = np.frombuffer(flat.encode("utf-32-le", "replace"), np.uint32)
-        step = SLICE - max(SIZES) + 1
-        for start in range(0, max(1, len(codes) - max(SIZES) + 1), step):
-            part = codes[start : start + SLICE]
-            if size and size + len(part) > SLICE:
-                yield np.concatenate(held).astype(np.uint64), np.concatenate(owners)
-                held, owners, size = [], [], 0
-            held.append(part)
-            owners.append(np.full(len(part), owner, np.int64))
-            size += len(part)
-    if held:
-        yield np.concatenate(held).astype(np.uint64), np.concatenate(owners)
-
-
-def present(texts: list[str | None], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, bucket), each pair once, of the n-grams whose bucket is wanted."""
-    found = [np.empty(0, np.int64)]
-    for codes, owner in _slices(texts):
-        for owners, buckets in _ngram_buckets(codes, owner):
-            hit = wanted[buckets]
-            found.append(np.unique(owners[hit] * BUCKETS + buckets[hit]))
-    pairs = np.unique(np.concatenate(found))
-    return pairs // BUCKETS, pairs % BUCKETS
+def _ngram_buckets(text: str | None) -> Iterator[np.ndarray]:
+    """The buckets of a text's n-grams, with repeats, in arrays of bounded size."""
+    flat = _SPACES.sub(" ", f" {text or ''} ").lower()
+    line = np.frombuffer(flat.encode("utf-32-le", "replace"), np.uint32)
+    for start in range(0, len(line), SLICE - max(SIZES) + 1):
+        codes = line[start : start + SLICE].astype(np.uint64)
+        rolled = codes
+        for size in range(2, max(SIZES) + 1):
+            if len(codes) < size:
+                break
+            rolled = rolled[:-1] * _FACTOR
+            rolled += codes[size - 1 :]
+            if size in SIZES:
+                yield ((rolled * _GOLDEN) >> np.uint64(44)).view(np.int64)
+
+
+def present(text: str | None, wanted: np.ndarray) -> np.ndarray:
+    """The wanted buckets that a text has, each once."""
+    found = [buckets[wanted[buckets]] for buckets in _ngram_buckets(text)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with each bucket in this task, weighted by label."""
-    every = np.ones(BUCKETS, bool)
+    here = np.zeros(BUCKETS, bool)
     toxic, other = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for batch in batches:
-        y = batch.column("y").to_numpy(zero_copy_only=False)
-        texts = batch.column("text").to_pylist()
-        for start in range(0, len(texts), 256):
-            owner, bucket = present(texts[start : start + 256], every)
-            share = y[start : start + 256][owner]
-            toxic += np.bincount(bucket, share, BUCKETS)
-            other += np.bincount(bucket, 1 - share, BUCKETS)
+        for text, y in zip(
+            batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True
+        ):
+            for buckets in _ngram_buckets(text):
+                here[buckets] = True
+            seen = np.flatnonzero(here)
+            here[seen] = False
+            toxic[seen] += y
+            other[seen] += 1 - y
     seen = np.flatnonzero(toxic + other)
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen), pa.array(toxic[seen]), pa.array(other[seen])], ["bucket", "p", "q"]
@@ -107,38 +93,38 @@ def _feature_rows(index: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            owner, bucket = present(texts, wanted)
-            ends = np.searchsorted(owner, np.arange(len(texts) + 1))
-            lists = pa.ListArray.from_arrays(
-                pa.array(ends.astype(np.int32)), pa.array(index[bucket].astype(np.int32))
-            )
+            found = [index[present(text, wanted)] for text in batch.column("text").to_pylist()]
+            lists = pa.array([one.astype(np.int32) for one in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([lists, batch.column("y")], ["f", "y"])
 
     return run
 
 
-def _sums(features: pa.ListArray, values: np.ndarray, bias: float) -> tuple[np.ndarray, ...]:
-    flat = features.flatten().to_numpy(zero_copy_only=False)
-    ends = np.asarray(features.offsets)
-    ends = ends - ends[0]
-    rows = np.repeat(np.arange(len(features)), np.diff(ends))
-    return flat, rows, bias + np.bincount(rows, values[flat], len(features))
-
+def _fit_part(ratios: np.ndarray, weights: np.ndarray, bias: float):
+    """Per task: the weights after STEPS steps over its rows (a part of the bounded sample)."""
 
-def _gradient(ratios: np.ndarray, weights: np.ndarray, bias: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, slope, rows_seen = np.zeros(len(weights)), 0.0, 0
-        for batch in batches:
-            y = batch.column("y").to_numpy(zero_copy_only=False)
-            flat, rows, sums = _sums(batch.column("f"), ratios * weights, bias)
+        parts = [batch for batch in batches if len(batch)]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        y = rows.column("y").to_numpy()
+        sizes = pc.list_value_length(rows.column("f")).to_numpy()
+        features = pc.list_flatten(rows.column("f")).to_numpy()
+        owner = np.repeat(np.arange(len(y)), sizes)
+        state = np.append(weights, bias)
+        first, second = np.zeros(len(state)), np.zeros(len(state))
+        for step in range(1, STEPS + 1):
+            sums = np.bincount(owner, (ratios * state[:-1])[features], len(y)) + state[-1]
             miss = _sigmoid(sums) - y
-            total += np.bincount(flat, miss[rows], len(weights)) * ratios
-            slope += miss.sum()
-            rows_seen += len(y)
+            gradient = np.bincount(features, miss[owner], len(weights)) * ratios
+            whole = np.append(gradient / len(y) + PENALTY * state[:-1], miss.mean())
+            first = 0.9 * first + 0.1 * whole
+            second = 0.99 * second + 0.01 * whole**2
+            move = (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
+            state = state - RATE / np.sqrt(step) * move
         yield pa.RecordBatch.from_arrays(
-            [pa.array([total.tobytes()], pa.binary()), pa.array([slope]), pa.array([rows_seen])],
-            ["gradient", "slope", "n"],
+            [pa.array([state.tobytes()], pa.binary()), pa.array([len(y)])], ["state", "n"]
         )
 
     return run
@@ -156,8 +142,9 @@ class ToxicityModel:
     bias: float
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        owner, bucket = present(texts, self.weights != 0)
-        return _sigmoid(self.bias + np.bincount(owner, self.weights[bucket], len(texts)))
+        wanted = self.weights != 0
+        sums = [float(self.weights[present(text, wanted)].sum()) for text in texts]
+        return _sigmoid(self.bias + np.array(sums, float))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> ToxicityModel:
@@ -199,24 +186,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
     rows = stored(
         map_arrow(sample, _feature_rows(index), "f array<int>, y double"), "toxicity-features"
     ).coalesce(FIT_TASKS)
-    # Adam on the full gradient: sure and quick, as features differ widely in frequency.
-    first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
-    for step in range(1, STEPS + 1):
-        gradient, slope, n = np.zeros(len(chosen)), 0.0, 0
-        sums = map_arrow(
-            rows, _gradient(ratios, weights, bias), "gradient binary, slope double, n bigint"
-        )
-        for part in sums.collect():
-            gradient += np.frombuffer(part["gradient"])
-            slope += part["slope"]
+    for _ in range(ROUNDS):
+        state, n = np.zeros(len(chosen) + 1), 0
+        fitted = map_arrow(rows, _fit_part(ratios, weights, bias), "state binary, n bigint")
+        for part in fitted.collect():
+            state += np.frombuffer(part["state"]) * part["n"]
             n += part["n"]
-        whole = np.append(gradient / n + PENALTY * weights, slope / n)
-        first = 0.9 * first + 0.1 * whole
-        second = 0.99 * second + 0.01 * whole**2
-        move = (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
-        rate = 0.1 / np.sqrt(step)
-        weights -= rate * move[:-1]
-        bias -= rate * float(move[-1])
+        weights, bias = state[:-1] / n, float(state[-1] / n)
     out[[row["bucket"] for row in chosen]] = ratios * weights
     return ToxicityModel(out, bias)
 
@@ -224,11 +200,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
 def _scored(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            scores = [model.score(texts[at : at + 256]) for at in range(0, len(texts), 256)]
-            yield batch.drop_columns(["text"]).append_column(
-                "score", pa.array(np.concatenate(scores) if scores else [], pa.float64())
-            )
+            scores = model.score(batch.column("text").to_pylist())
+            yield batch.drop_columns(["text"]).append_column("score", pa.array(scores))
 
     return run
 
