@@ -3,13 +3,16 @@
 import __spark_entry__ as driver
 import oracle
 import pytest
+from sparkmart import workload
 
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = workload.queries()
+ORACLES = workload.oracle_sql()
 
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
