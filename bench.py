@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -51,6 +52,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         # Recording a Python call site per column costs time and helps debugging only.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

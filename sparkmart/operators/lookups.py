@@ -38,6 +38,14 @@ def _named(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """A row's size in memory, rounded up."""
     sizes = [str(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.schema.fields))]
@@ -137,7 +145,9 @@ def _spread_join(
 
     # A row's slot follows from its content and partition, so a task that runs
     # again after a lost executor puts the row into the same slot.
-    row_hash = F.xxhash64(F.spark_partition_id(), *[_named(name) for name in left.columns])
+    # Maps have no hash; their rows spread by the other columns.
+    hashed = [_named(f.name) for f in left.schema.fields if not _holds_map(f.dataType)]
+    row_hash = F.xxhash64(F.spark_partition_id(), *hashed)
     spread = with_slots(left).withColumn(
         "_slot",
         F.when(F.col("_slots").isNotNull(), F.pmod(row_hash, F.col("_slots"))).otherwise(0),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookups import lookup
+from sparkmart.operators.lookups import DuplicateKeyError, lookup
 from sparkmart.sources.documents import FLAGS
 
 # Patterns and length bounds of a record's fields.
@@ -109,7 +109,7 @@ def insert_absent(
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``new`` into the rows to insert and the refused ones.
 
-    A row is refused when its key is in ``base`` or came earlier in the batch, by
+    A row is refused when its key is NULL, is in ``base`` or came earlier in the batch, by
     the ``arrival`` columns. The earliest row per key is a minimum, so copies of a
     hot key shrink to one row before the shuffle, and no key's rows are gathered.
     Of the base only the keys are read. The two results together are all rows of
@@ -118,7 +118,8 @@ def insert_absent(
     rest = [column for column in new.columns if column not in {key, *arrival}]
     first = F.min(F.struct(*arrival, *rest)).alias("_first")
     earliest = (
-        new.groupBy(key)
+        new.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(first)
         .select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in new.columns])
     )
@@ -137,12 +138,16 @@ def update_columns(
 
     Gives the updated base and the updates with an unknown key. An explicit NULL
     overwrites. Of several updates for a key the last by ``order`` counts; without
-    an order the caller promises that each key comes once. Few updates are
+    an order each key may come once, or ``DuplicateKeyError`` is raised. Few updates are
     broadcast, and the base is then not shuffled.
     """
     missing = [c for c in columns if c not in base.columns or c not in updates.columns]
     if missing:
         raise ValueError(f"columns to update are not in both tables: {missing}")
+    if not order:
+        doubled = updates.groupBy(key).count().where(f"`{key}` is not null and count > 1").first()
+        if doubled:
+            raise DuplicateKeyError(f"several updates without an order for key {doubled[0]!r}")
     places = [F.col(c).alias(f"_place_{i}") for i, c in enumerate(order)]
     last = (
         updates.groupBy(key)

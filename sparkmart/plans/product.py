@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import graphlib
 import posixpath
+import re
 import string
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
@@ -38,6 +39,15 @@ def relation_name(name: str, alias: str | None = None, version: Version = None)
     return f"{base}_v{str(version).replace('.', '_')}"
 
 
+def _names_in(text: str) -> set[str]:
+    """The names that SQL text has in braces; doubled braces stand for themselves."""
+    names = {name for _, name, _, _ in string.Formatter().parse(text) if name is not None}
+    odd = sorted(name for name in names if not re.fullmatch(r"\w+", name))
+    if odd:
+        raise ValueError(f"braces hold names only, not {odd}; write a plain brace twice")
+    return names
+
+
 @dataclass(frozen=True)
 class Model:
     name: str
@@ -126,13 +136,16 @@ class Product:
     ):
         """Declare a model: as a decorator of its function, or with its SQL text.
 
-        SQL text names its references in braces, such as ``select * from {orders}``.
+        SQL text names its references in braces, such as ``select * from {orders}``; they
+        need not be repeated in ``refs``. A brace that is meant as such is written twice.
         SQL views are stored in the catalog; views of functions last as long as the
         session. The newest version answers references without a version, unless
         another one is declared ``latest``.
         """
         if materialized not in ("view", "table"):
             raise ValueError(f"materialized is 'view' or 'table', not {materialized!r}")
+        if sql is not None:
+            _names_in(sql)
 
         def declare(body):
             self._refuse_taken(name, version)
@@ -213,7 +226,8 @@ class Product:
 
     def sql(self, text: str, identity: Identity | None = None) -> DataFrame:
         """Query built relations and sources, each named in braces, as ``identity``."""
-        names = {field for _, field, _, _ in string.Formatter().parse(text) if field}
+        names = _names_in(text)
+        self._refuse_other_relations(text, names)
         by_relation = {self._relation_of(key): key for key in self._built}
         frames = {}
         for name in names:
@@ -225,6 +239,21 @@ class Product:
                 frames[name] = self.read(name, identity)
         return self.spark.sql(text, **frames)
 
+    def _refuse_other_relations(self, text: str, names: set[str]) -> None:
+        """Refuse query text that reads anything but the names in braces.
+
+        A table named directly would be read past the policies. Names that the text itself
+        gives to its subqueries are allowed where no table or view has them.
+        """
+        plain = text.format_map({name: f"_braced_{i}" for i, name in enumerate(sorted(names))})
+        parser = self.spark._jsparkSession.sessionState().sqlParser()
+        parsed = parser.parsePlan(plain).treeString()
+        for found in re.findall(r"'?UnresolvedRelation \[([^\]]*)\]", parsed):
+            if found.startswith("_braced_"):
+                continue
+            if "," in found or self.spark.catalog.tableExists(f"`{found}`"):
+                raise PermissionError(f"query text must name {found!r} in braces")
+
     def _governed(self, key: tuple[str, str | None], identity: Identity | None) -> DataFrame:
         table = TableName(self.catalog, self.schema, self._relation_of(key))
         return secure(self.ref(*key), table, identity, self.policies)
@@ -258,8 +287,16 @@ class Product:
         graph: dict[tuple[str, str | None], list] = {(name, None): [] for name in self._seeds}
         for key, model in self._models.items():
             graph[key] = [self._key(*reference) for reference in model.refs]
+            if isinstance(model.body, str):
+                graph[key] += self._text_references(model)
         return list(graphlib.TopologicalSorter(graph).static_order())
 
+    def _text_references(self, model: Model) -> list[tuple[str, str | None]]:
+        """The seeds and models that a model's SQL text names in braces."""
+        by_relation = {declared.relation: key for key, declared in self._models.items()}
+        names = _names_in(model.body) - set(self._sources)
+        return [by_relation[name] if name in by_relation else self._key(name) for name in names]
+
     def build(self) -> dict[str, DataFrame]:
         """Load the seeds, build every model, and return all relations by name."""
         order = self.build_order()

@@ -11,10 +11,14 @@ import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.sources.schemas import struct_from_json_schema
 
+# A quote within a quoted cell is written twice, and a backslash is a character like others.
+STANDARD_QUOTING = {"quote": '"', "escape": '"', "unescapedQuoteHandling": "RAISE_ERROR"}
+
 # Reader option of a source description -> Spark reader option.
 READER_OPTIONS = {
     "sep": "sep",
@@ -27,23 +31,43 @@ READER_OPTIONS = {
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, **options: str
 ) -> DataFrame:
-    """Read headered delimited files strictly under ``schema``."""
+    """Read headered delimited files strictly under ``schema``.
+
+    Cells may hold line breaks only with ``multiLine="true"``, which makes each file one
+    task's work and so is never the default.
+    """
     settings = {
         "header": "true",
         "mode": "FAILFAST",
         "enforceSchema": "false",
+        **STANDARD_QUOTING,
         **options,
     }
+    if len(schema.fields) == 1 and settings.get("multiLine", "false").lower() != "true":
+        _refuse_open_quotes(spark, path, settings["quote"])
     return spark.read.options(**settings).schema(schema).csv(path)
 
 
+def _refuse_open_quotes(spark: SparkSession, path: str, quote: str) -> None:
+    """Raise if a quoted cell goes on in the next line.
+
+    With several columns such a line has too few cells and ends the read; with one column
+    it would pass as two rows.
+    """
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    if not lines.where(F.startswith("value", F.lit(quote)) & (quotes % 2 == 1)).isEmpty():
+        raise ValueError(f"malformed: a quoted cell of {path} has a line break; set multiLine")
+
+
 def read_seed(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
 ) -> DataFrame:
     """Read a seed file. Without a schema every column stays text, to be cast later."""
     if schema is not None:
-        return read_delimited(spark, path, schema)
-    return spark.read.options(header="true", mode="FAILFAST").csv(path)
+        return read_delimited(spark, path, schema, **options)
+    settings = {"header": "true", "mode": "FAILFAST", **STANDARD_QUOTING, **options}
+    return spark.read.options(**settings).csv(path)
 
 
 def read_stream(

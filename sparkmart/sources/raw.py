@@ -28,12 +28,28 @@ def land_raw(df: DataFrame) -> DataFrame:
 def parse_raw(raw: DataFrame, schema: T.StructType, payload: str = PAYLOAD) -> DataFrame:
     """The raw columns, the typed columns, and ``fits``: whether the record is sound.
 
-    A record does not fit when its text is missing, empty, no JSON object, or holds
-    a value of another type; the typed columns of such a row mean nothing.
+    A record does not fit when its text is missing, empty, not exactly one JSON object, or
+    holds a value of another type; the typed columns of such a row mean nothing. The typed
+    parser turns numbers, objects and arrays into text and stops at the object's end, so the
+    text is also parsed as it stands, once within brackets and once within an object: only
+    a single whole value is sound in both.
     """
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     record = F.from_json(payload, with_bad, {"columnNameOfCorruptRecord": _BAD})
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col(payload), F.lit("]")))
+    nested = F.try_parse_json(F.concat(F.lit('{"r":'), F.col(payload), F.lit("}")))
+    one = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    exact = [
+        F.coalesce(
+            F.schema_of_variant(F.try_variant_get(nested, f"$.r['{field.name}']", "variant")),
+            F.lit("VOID"),
+        ).isin("STRING", "VOID")
+        for field in schema.fields
+        if isinstance(field.dataType, T.StringType)
+    ]
     sound = F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull()
+    for condition in (one, nested.isNotNull(), *exact):
+        sound = sound & F.coalesce(condition, F.lit(False))
     # Exploding a one-element array keeps the parser below later filters, which
     # would else repeat it for every condition that reads the record.
     return raw.select("*", F.explode(F.array(record)).alias("_record")).select(

@@ -56,28 +56,49 @@ def full_refresh(
     location = f"{root}/{table.replace('`', '')}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(location)
 
+    if _is_view(spark, table):
+        spark.sql(f"DROP VIEW {table}")
     if spark.catalog.tableExists(table) and _same_layout(spark.table(table), df):
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(location)}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path=location, source="parquet", schema=df.schema)
     spark.catalog.refreshTable(table)
+    _unset_dropped_tags(spark, table, properties or {})
     if properties:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_pairs(properties)})")
     return spark.table(table)
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
+def _unset_dropped_tags(spark: SparkSession, table: str, kept: Mapping[str, str]) -> None:
+    """Remove the tags of an earlier build that are declared no longer."""
+    stored = [row["key"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()]
+    dropped = [k for k in stored if (k.startswith("meta.") or k == "description") and k not in kept]
+    if dropped:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES ({', '.join(map(_literal, dropped))})")
+
+
 def replace_view(
     rows: DataFrame, text: str, view: str, properties: Mapping[str, str] | None = None
 ) -> None:
-    """Store SQL ``text`` as a view with the column order and comments of ``rows``."""
+    """Store SQL ``text`` as a view with the column order and comments of ``rows``.
+
+    A table of that name gives way to the view.
+    """
+    spark = rows.sparkSession
+    if spark.catalog.tableExists(view) and not _is_view(spark, view):
+        spark.sql(f"DROP TABLE {view}")
     columns = []
     for field in rows.schema.fields:
         comment = field.metadata.get("comment")
         columns.append(f"`{field.name}`" + (f" COMMENT {_literal(comment)}" if comment else ""))
     tags = f" TBLPROPERTIES ({_pairs(properties)})" if properties else ""
     selected = ", ".join(f"`{name}`" for name in rows.columns)
-    rows.sparkSession.sql(
+    spark.sql(
         f"CREATE OR REPLACE VIEW {view} ({', '.join(columns)}){tags} "
         f"AS SELECT {selected} FROM ({text})"
     )

@@ -22,9 +22,9 @@ from sparkmart.workload import rates, sales
 from sparkmart.workload.tables import lay_table, load
 
 RATE_CONTRACT = Contract.of(
-    ContractColumn("from_currency", "string", "The currency to convert from"),
-    ContractColumn("to_currency", "string", "The currency to convert to"),
-    ContractColumn("rate", "float", "The conversion rate"),
+    ContractColumn("from_currency", "string", "Code of the money given"),
+    ContractColumn("to_currency", "string", "Code of the money received"),
+    ContractColumn("rate", "float", "Units received for one unit given"),
 )
 
 

@@ -3,9 +3,9 @@ import pytest
 from sparkmart.operators import Contract, ContractColumn, ContractError, enforce
 
 RATES = Contract.of(
-    ContractColumn("from_currency", "string", "The currency to convert from"),
+    ContractColumn("from_currency", "string", "Code of the money given"),
     ContractColumn("to_currency", "string"),
-    ContractColumn("rate", "float", "The conversion rate"),
+    ContractColumn("rate", "float", "Units received for one unit given"),
 )
 
 
@@ -17,7 +17,7 @@ def test_columns_come_in_contract_order_with_descriptions(spark):
         ("to_currency", "string"),
         ("rate", "double"),
     ]
-    assert checked.schema["rate"].metadata == {"comment": "The conversion rate"}
+    assert checked.schema["rate"].metadata == {"comment": "Units received for one unit given"}
     assert tuple(checked.first()) == ("a", "b", 1.5)
 
 

@@ -157,7 +157,7 @@ def test_contract_is_enforced_and_comments_are_stored(spark, product):
 
 def test_tags_and_output_ports(spark, product):
     product.seed("numbers", numbers)
-    port = {"output_port": "true", "brand_content": "glb"}
+    port = {"output_port": "true", "brand_content": "north"}
     text = "select * from {numbers}"
     product.model("a", refs=["numbers"], materialized="table", meta=port, sql=text)
     product.model("b", refs=["numbers"], meta={"output_port": "false"}, sql=text)
@@ -168,7 +168,7 @@ def test_tags_and_output_ports(spark, product):
     for name in ("a", "c"):
         table = f"spark_catalog.{product.schema}.{name}"
         stored = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-        assert stored["meta.brand_content"] == "glb"
+        assert stored["meta.brand_content"] == "north"
     assert stored["description"] == "the c's"
 
 

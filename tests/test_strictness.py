@@ -1,0 +1,124 @@
+"""Standard CSV quoting, strict records, closed queries and changed materializations."""
+
+import pytest
+from pyspark.sql import types as T
+from sparkmart.operators import Identity, RowFilter, TableName, insert_absent, update_columns
+from sparkmart.operators.lookups import DuplicateKeyError, lookup
+from sparkmart.plans import Product
+from sparkmart.sources.delimited import read_delimited, read_seed
+from sparkmart.sources.raw import parse_raw
+
+TWO = T.StructType([T.StructField(name, T.StringType()) for name in "ab"])
+
+
+def written(tmp_path, text):
+    path = tmp_path / "cells.csv"
+    path.write_text(text)
+    return f"file://{path}"
+
+
+def test_doubled_quotes_and_backslashes(spark, tmp_path):
+    path = written(tmp_path, 'a,b\n"say ""hi"" ok","""q"""\n"say ""hi"", ok","C:\\"\n')
+    expected = [('say "hi" ok', '"q"'), ('say "hi", ok', "C:\\")]
+    assert [tuple(row) for row in read_delimited(spark, path, TWO).collect()] == expected
+    assert [tuple(row) for row in read_seed(spark, path).collect()] == expected
+
+
+def test_line_breaks_in_cells(spark, tmp_path):
+    path = written(tmp_path, 'a\n"one\ntwo"\n')
+    one = T.StructType(TWO.fields[:1])
+    with pytest.raises(Exception, match="(?i)malformed|unescaped|parsing"):
+        read_delimited(spark, path, one).collect()
+    rows = read_delimited(spark, path, one, multiLine="true").collect()
+    assert [row["a"] for row in rows] == ["one\ntwo"]
+
+
+def test_records_must_fit_exactly(spark):
+    good = ['{"a":"1","b":null}', ' {"a":"1"} ', "{}", '{"a":"{}]"}']
+    bad = [
+        '{"a":1}', '{"a":true}', '{"a":{"x":1}}', '{"a":["1"]}', '{"a":"1"}{"a":"2"}',
+        '{"a":"1"} rest', '{"a":"1"}] rest', '{"a":"1"}} rest', '{"a":"1"},{"a":"2"}', '[{"a":"1"}]',
+        "", None, '"text"',
+    ]
+    raw = spark.createDataFrame([(text,) for text in good + bad], "payload string")
+    fits = {row["payload"]: row["fits"] for row in parse_raw(raw, TWO).collect()}
+    assert [text for text in good if not fits[text]] == []
+    assert [text for text in bad if fits[text]] == []
+
+
+def test_governed_sql_reads_names_in_braces_only(spark):
+    product = Product(spark, "strict_governed")
+    product.seed("people", spark.range(10).withColumnRenamed("id", "n"))
+    product.build()
+    table = TableName("spark_catalog", "strict_governed", "people")
+    product.policies.append(RowFilter(table, "n < 3"))
+    analyst = Identity("analyst")
+    allowed = "with few as (select * from {people}) select count(*) from few where n in (select n from {people})"
+    assert product.sql(allowed, analyst).first()[0] == 3
+    for text in (
+        "select * from strict_governed.people",
+        "select * from `spark_catalog`.strict_governed.people, {people}",
+        "select * from {people} where n in (select n from strict_governed.people)",
+        "select (select max(n) from strict_governed.people) from {people}",
+        "with p as (select * from strict_governed.people) select * from p",
+        "select * from parquet.`/tmp/somewhere`",
+    ):
+        with pytest.raises(PermissionError, match="braces"):
+            product.sql(text, analyst)
+
+
+def test_materialization_may_change(spark):
+    for kind in ("view", "table", "view"):
+        product = Product(spark, "strict_switch")
+        product.seed("numbers", spark.range(4).withColumnRenamed("id", "n"))
+        product.model("some", materialized=kind, sql="select n, '{{}}' as braces from {numbers} where n > 1")
+        rows = product.build()["some"].collect()
+        assert sorted(tuple(row) for row in rows) == [(2, "{}"), (3, "{}")]
+
+
+def test_dropped_tags_leave_the_table(spark):
+    stored = []
+    for meta in ({"output_port": "true", "team": "a"}, {"team": "a"}):
+        product = Product(spark, "strict_tags")
+        product.seed("numbers", spark.range(4))
+        product.model("port", materialized="table", meta=meta, sql="select * from {numbers}")
+        product.build()
+        rows = spark.sql("SHOW TBLPROPERTIES strict_tags.port").collect()
+        stored.append({row["key"] for row in rows if row["key"].startswith("meta.")})
+    assert stored == [{"meta.output_port", "meta.team"}, {"meta.team"}]
+
+
+def test_text_references_order_the_build(spark):
+    product = Product(spark, "strict_refs")
+    product.model("last", sql="select * from {middle}")
+    product.model("middle", sql="select * from {numbers}")
+    product.seed("numbers", spark.range(2))
+    assert product.build()["last"].count() == 2
+    product.model("lost", sql="select * from {nowhere}")
+    with pytest.raises(KeyError, match="nowhere"):
+        product.build()
+    with pytest.raises(ValueError, match="twice"):
+        product.model("odd", sql="select '{\"k\": 1}'")
+
+
+def test_null_keys_are_refused(spark):
+    base = spark.createDataFrame([(None, 0), ("a", 0)], "name string, at int")
+    new = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1), ("b", 2)], base.schema)
+    taken, refused = insert_absent(base, new, "name", ["at"])
+    assert [tuple(row) for row in taken.collect()] == [("b", 1)]
+    assert refused.count() == 3
+
+
+def test_updates_without_order_must_be_single(spark):
+    base = spark.createDataFrame([("a", 1)], "name string, size int")
+    twice = spark.createDataFrame([("a", None), ("a", 7), ("a", 3)], base.schema)
+    with pytest.raises(DuplicateKeyError, match="'a'"):
+        update_columns(base, twice, "name", ["size"])
+
+
+def test_lookup_spreads_facts_with_maps(spark):
+    fact = spark.range(100).selectExpr("1L as k", "map('a', id) as m", "array(map(1, id)) as n")
+    dimension = spark.createDataFrame([(1, "one")], "k long, name string")
+    small = lookup(fact, dimension, {"k": "k"}, {"name": "name"})
+    large = lookup(fact, dimension, {"k": "k"}, {"name": "name"}, broadcast_bytes=0, rows_per_task=10)
+    assert small.count() == large.where("name = 'one'").count() == 100
