@@ -6,7 +6,8 @@ the keys that hold more fact rows than one task should are spread over several
 slots, with the dimension's rows of just these keys repeated once per slot.
 Either way gives the same rows.
 
-Beyond the bound the fact's keys are counted in a pass of their own; write a
+A dimension beyond the bound is never broadcast, by Spark's own choice either. Beyond the
+bound the fact's keys are counted in a pass of their own; write a
 fact that is costly to compute to a table before.
 """
 
@@ -107,7 +108,7 @@ def lookup(
     if _measure(right, key_names, unique) <= broadcast_bytes:
         joined = left.join(F.broadcast(right), key_names, "left")
     elif rows_per_task is None:
-        joined = left.join(right, key_names, "left")
+        joined = left.join(right.hint("merge"), key_names, "left")
     else:
         joined = _spread_join(left, right, key_names, rows_per_task)
     return joined.select(*[_named(name) for name in [*fact.columns, *take]])
@@ -135,7 +136,7 @@ def _spread_join(
     slots = _hot_keys(left, key_names, rows_per_task)
     hot = slots.count()
     if hot == 0:
-        return left.join(right, key_names, "left")
+        return left.join(right.hint("merge"), key_names, "left")
     if hot <= MAX_BROADCAST_SLOTS:
         slots = F.broadcast(slots)
 
@@ -159,5 +160,5 @@ def _spread_join(
         ),
     )
     return spread.drop("_slots").join(
-        repeated.drop("_slots"), [*key_names, "_slot"], "left"
+        repeated.drop("_slots").hint("merge"), [*key_names, "_slot"], "left"
     )

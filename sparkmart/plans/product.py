@@ -103,6 +103,7 @@ class Product:
         self._seeds: dict[str, DataFrame | Callable[[SparkSession], DataFrame]] = {}
         self._sources: dict[str, SourceTable] = {}
         self._built: dict[tuple[str, str | None], str] = {}
+        self._building = False
 
     # Declarations
 
@@ -209,6 +210,11 @@ class Product:
         key = self._key(name, version)
         if key not in self._built:
             raise LookupError(f"{name!r} is not built yet")
+        model = self._models.get(key)
+        if model and model.materialized == "view" and not isinstance(model.body, str):
+            if not self._building:
+                # A function's plan may hold choices by size, so each read plans anew.
+                self._built[key] = self._build_model(model)
         return self.spark.table(self._built[key])
 
     def source(self, name: str) -> DataFrame:
@@ -305,13 +311,17 @@ class Product:
             f"LOCATION '{self.root}'"
         )
         self._built.clear()
-        for key in order:
-            if key in self._models:
-                self._built[key] = self._build_model(self._models[key])
-            else:
-                rows = self._seeds[key[0]]
-                rows = rows(self.spark) if callable(rows) else rows
-                self._built[key] = self._store(rows, key[0], {})
+        self._building = True
+        try:
+            for key in order:
+                if key in self._models:
+                    self._built[key] = self._build_model(self._models[key])
+                else:
+                    rows = self._seeds[key[0]]
+                    rows = rows(self.spark) if callable(rows) else rows
+                    self._built[key] = self._store(rows, key[0], {})
+        finally:
+            self._building = False
         return {self._relation_of(key): self.spark.table(name) for key, name in self._built.items()}
 
     def _store(self, rows: DataFrame, relation: str, properties: Mapping[str, str]) -> str:

@@ -191,13 +191,31 @@ def adhoc_sql_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
         RowFilter(customer, "c_mktsegment <> 'BUILDING'"),
         ColumnMask(customer, "c_name", tail_mask("c_name")),
     ]
+    product.declare_source("orders", lay_table(spark, sf_dir, "orders", lake))
+    orders = TableName(product.catalog, lake, "orders")
+    product.policies.append(RowFilter(orders, "o_orderstatus <> 'P'"))
     return product.sql(
-        "select c_mktsegment, right(c_name, 1) as last_digit, count(*) as customers, "
-        "count(distinct c_name) as names from {customers} group by all",
+        "select c_mktsegment, right(c_name, 1) as last_digit, count(o_orderkey) as orders, "
+        "count(distinct c_name) as names "
+        "from {customers} left join {orders} on c_custkey = o_custkey group by all",
         Identity("analyst"),
     )
 
 
+def model_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model built as a view, then as a table, then as a view again."""
+    for kind in ("view", "table", "view"):
+        product = Product(spark, "sparkmart_switch")
+        product.seed("nations", lambda spark: load(spark, sf_dir, "nation"))
+        product.model(
+            "nations_by_region",
+            materialized=kind,
+            sql="select n_regionkey, count(*) as nations from {nations} group by n_regionkey",
+        )
+        built = product.build()
+    return built["nations_by_region"]
+
+
 QUERIES = {
     "model_chain_view": model_chain_view,
     "model_chain_sql": model_chain_sql,
@@ -205,6 +223,7 @@ QUERIES = {
     "model_table_contract": model_table_contract,
     "model_versions": model_versions,
     "model_output_ports": model_output_ports,
+    "model_switch": model_switch,
     "adhoc_sql": adhoc_sql,
     "adhoc_sql_governed": adhoc_sql_governed,
 }
@@ -215,6 +234,7 @@ _BY_NATION = """
 """
 
 ORACLES = {
+    "model_switch": "select n_regionkey, count(*) as nations from nation group by 1",
     "model_chain_view": sales.MART,
     "model_chain_sql": """
         select n_name, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as spent,
@@ -245,8 +265,10 @@ ORACLES = {
         from customer group by c_mktsegment
     """,
     "adhoc_sql_governed": """
-        select c_mktsegment, right(c_name, 1) as last_digit, count(*) as customers,
+        select c_mktsegment, right(c_name, 1) as last_digit, count(o_orderkey) as orders,
                count(distinct right(c_name, 3)) as names
-        from customer where c_mktsegment <> 'BUILDING' group by 1, 2
+        from customer left join (select * from orders where o_orderstatus <> 'P')
+            on c_custkey = o_custkey
+        where c_mktsegment <> 'BUILDING' group by 1, 2
     """,
 }

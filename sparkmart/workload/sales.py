@@ -94,6 +94,24 @@ def stg_sales_large_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_sales(spark, sf_dir, broadcast_bytes=0, rows_per_task=1000)
 
 
+def lookup_skewed_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against all orders, shuffled; one order gets a share of all lines."""
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, 1).otherwise(F.col("l_orderkey")).alias("order_key"),
+        "l_linenumber",
+        "l_quantity",
+    )
+    orders = load(spark, sf_dir, "orders")
+    taken = {"status": "o_orderstatus", "customer": "o_custkey"}
+    joined = lookup(
+        lines, orders, {"order_key": "o_orderkey"}, taken, broadcast_bytes=0, rows_per_task=500
+    )
+    return joined.groupBy("order_key", "status", "customer").agg(
+        F.count("*").alias("lines"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)").alias("quantity"),
+    )
+
+
 def fct_sales_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converted_sales(spark, sf_dir)
 
@@ -138,6 +156,7 @@ def dim_miss_and_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "stg_sales": stg_sales,
     "stg_sales_large_dimension": stg_sales_large_dimension,
+    "lookup_skewed_large": lookup_skewed_large,
     "fct_sales_converted": fct_sales_converted,
     "mart_monthly_sales": mart_monthly_sales,
     "fx_missing_rate_default": fx_missing_rate_default,
@@ -200,6 +219,14 @@ from converted group by 1, 2, 3, 4 order by 1, 2, 3
 ORACLES = {
     "stg_sales": f"with {_STAGED} select * from staged",
     "stg_sales_large_dimension": f"with {_STAGED} select * from staged",
+    "lookup_skewed_large": """
+        select order_key, o_orderstatus as status, o_custkey as customer, count(*) as lines,
+               cast(sum(cast(l_quantity as decimal(18,2))) as decimal(18,2)) as quantity
+        from (select case when l_linenumber = 1 then 1 else l_orderkey end as order_key,
+                     l_quantity from lineitem)
+        left join orders on order_key = o_orderkey
+        group by 1, 2, 3
+    """,
     "fct_sales_converted": f"with {_CONVERTED} select * from converted",
     "mart_monthly_sales": MART,
     "fx_missing_rate_default": f"""

@@ -65,6 +65,15 @@ def seed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_parquet(read_seed(spark, f"{folder}/supplier.csv", schema), f"{folder}/table")
 
 
+def seed_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with quotes, commas, backslashes and line breaks, to a file and back."""
+    folder = fresh_folder(spark, "seed_quoted_text")
+    options = {"header": "true", "quote": '"', "escape": '"'}
+    load(spark, sf_dir, "documents").write.options(**options).csv(f"{folder}/documents.csv")
+    schema = T.StructType.fromDDL(SCHEMAS["documents"])
+    return read_seed(spark, f"{folder}/documents.csv", schema, multiLine="true")
+
+
 def delimited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A semicolon-separated file read as a stream with declared types."""
     folder = fresh_folder(spark, "delimited_stream")
@@ -156,6 +165,7 @@ QUERIES = {
     "source_count": source_count,
     "seed_roundtrip": seed_roundtrip,
     "delimited_stream": delimited_stream,
+    "seed_quoted_text": seed_quoted_text,
     "ingest_sync": ingest_sync,
     "json_schema_read": json_schema_read,
     "raw_land_readback": raw_land_readback,
@@ -171,6 +181,7 @@ _TYPED_CUSTOMER = """
 """
 
 ORACLES = {
+    "seed_quoted_text": "select doc_id, text, lang, source, n_chars from documents",
     "source_count": "select count(*) as raw_count from customer",
     "seed_roundtrip": "select * from supplier",
     "delimited_stream": _TYPED_CUSTOMER,

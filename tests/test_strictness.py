@@ -122,3 +122,30 @@ def test_lookup_spreads_facts_with_maps(spark):
     small = lookup(fact, dimension, {"k": "k"}, {"name": "name"})
     large = lookup(fact, dimension, {"k": "k"}, {"name": "name"}, broadcast_bytes=0, rows_per_task=10)
     assert small.count() == large.where("name = 'one'").count() == 100
+
+
+def test_views_of_functions_are_planned_anew(spark, plan_of, tmp_path):
+    """A dimension that outgrows the bound is not broadcast by a view planned before."""
+    from sparkmart.sources.tables import full_refresh
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS strict_views")
+    table, root = "strict_views.codes", f"file://{tmp_path}"
+    full_refresh(spark.range(5).selectExpr("id as code", "'x' as name"), table, root)
+    product = Product(spark, "strict_views_product")
+
+    @product.model("named")
+    def named(ctx):
+        fact = ctx.spark.range(50).selectExpr("id % 7 as k")
+        return lookup(fact, ctx.spark.table(table), {"k": "code"}, {"name": "name"}, broadcast_bytes=5_000)
+
+    product.build()
+    assert "BroadcastHashJoin" in plan_of(product.ref("named"))
+    full_refresh(spark.range(5_000).selectExpr("id as code", "'x' as name"), table, root)
+    plan = plan_of(product.read("named", None))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_skewed_lookup_stays_shuffled(spark, sf_dir, plan_of):
+    from sparkmart.workload import queries
+
+    assert "SortMergeJoin" in plan_of(queries()["lookup_skewed_large"](spark, sf_dir))
