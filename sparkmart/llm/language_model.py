@@ -26,19 +26,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import id_remainder, map_arrow, ship_code, stored
-from sparkmart.llm.shingles import mixed, word_hashes
+from sparkmart.llm.shingles import mixed
 
 CLASSES = MEMBERS = 16
 CELLS = CLASSES * MEMBERS
 HEAD = 128
 TABLE = 1 << 16
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 2_200_000
 BATCH_TOKENS = 16_384
 ROUNDS = 2
 TRAIN_TASKS = 1_024
@@ -56,6 +57,11 @@ _BLOCKS = (
 )
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words that are all different, so none is kept for later."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 class _LocalNumbers(dict):
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
@@ -64,7 +70,7 @@ class _LocalNumbers(dict):
 
 def spelled_cells(words: list[bytes]) -> np.ndarray:
     """The member that a word outside the head belongs to, by its last three bytes."""
-    tails = word_hashes([word[-3:] for word in words])
+    tails = _hashes([word[-3:] for word in words])
     return (HEAD + mixed(tails) % np.uint64(CELLS - HEAD)).astype(np.uint8)
 
 
@@ -125,7 +131,7 @@ class _BlockBuilder:
             [self.held],
             [self.ends],
             [_packed(tokens)],
-            [word_hashes(words).tobytes()],
+            [_hashes(words).tobytes()],
             [cells.tobytes()],
             [None],
             [None],
@@ -157,14 +163,19 @@ def _build_blocks(block_tokens: int):
         number = TaskContext.get().partitionId() << 24
         builder = _BlockBuilder(number)
         for batch in batches:
+            # Texts leave the batch one by one, so that they are not held twice.
             for doc_id, text, held in zip(
-                *(column.to_pylist() for column in batch.columns), strict=True
+                batch.column("doc_id").to_pylist(),
+                batch.column("text"),
+                batch.column("held").to_pylist(),
+                strict=True,
             ):
-                builder.add(doc_id, held, (text or b"").lower().split())
+                builder.add(doc_id, held, (text.as_py() or b"").lower().split())
                 if builder.ends[-1] >= block_tokens:
                     yield from builder.batches()
                     number += 1
                     builder = _BlockBuilder(number)
+                    pa.default_memory_pool().release_unused()
         if builder.doc_ids:
             yield from builder.batches()
 
@@ -457,7 +468,7 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFr
     found = words.select("block", "local", "word").join(F.broadcast(spots), ["block", "local"])
     heads = np.zeros(len(top), np.uint64)
     for row in found.select("place", "word").collect():
-        heads[row["place"]] = word_hashes([bytes(row["word"])])[0]
+        heads[row["place"]] = _hashes([bytes(row["word"])])[0]
     inner_n, inner_v = np.zeros(CELLS), np.zeros(CELLS)
     for cell, (n, v) in totals.items():
         inner_n[cell], inner_v[cell] = n, v
