@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,19 @@ def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within this, jobs send ``rows`` rows at a time to Python, so whole texts take less memory
+    on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def id_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text modulo ``modulus``; a null id counts as the empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import id_remainder, map_arrow, ship_code, stored
+from sparkmart.llm.common import arrow_rows, id_remainder, map_arrow, ship_code, stored
 from sparkmart.llm.shingles import mixed
 
 CLASSES = MEMBERS = 16
@@ -436,7 +436,8 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFr
         F.col("text").cast("binary").alias("text"),
         (id_remainder("doc_id", FOLDS) == HELD_FOLD).alias("held"),
     )
-    built = stored(map_arrow(source, _build_blocks(block_tokens), _BLOCKS), "lm-blocks")
+    with arrow_rows(docs.sparkSession, 1_000):
+        built = stored(map_arrow(source, _build_blocks(block_tokens), _BLOCKS), "lm-blocks")
     blocks = built.where("word is null").select(
         "block", "doc_ids", "held", "ends", "tokens", "hashes", "cells"
     )
