@@ -78,6 +78,11 @@ def _measure(df: DataFrame, key_names: Sequence[str], unique: bool) -> int:
     return measured["bytes"] or 0
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that all rows take in memory, rounded up, by one aggregate over them."""
+    return _measure(df, [], unique=False)
+
+
 def lookup(
     fact: DataFrame,
     dimension: DataFrame,
@@ -88,6 +93,7 @@ def lookup(
     unique: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int | None = ROWS_PER_TASK,
+    dimension_bytes: int | None = None,
 ) -> DataFrame:
     """All columns of ``fact`` plus columns of the matching dimension row.
 
@@ -96,6 +102,8 @@ def lookup(
     row without a match gets NULLs, one with several matches is repeated; with
     ``unique`` a dimension that holds a key twice is refused. Keys with more than
     ``rows_per_task`` fact rows are spread; None tells that the fact has none such.
+    A caller that has measured the dimension gives its ``dimension_bytes``, and it is not
+    measured again.
     """
     key_names = [f"_key_{i}" for i in range(len(keys))]
     left = fact.select(
@@ -105,7 +113,9 @@ def lookup(
         *[normalise(_named(c)).alias(k) for c, k in zip(keys.values(), key_names)],
         *[_named(source).alias(name) for name, source in take.items()],
     )
-    if _measure(right, key_names, unique) <= broadcast_bytes:
+    if dimension_bytes is None or unique:
+        dimension_bytes = _measure(right, key_names, unique)
+    if dimension_bytes <= broadcast_bytes:
         joined = left.join(F.broadcast(right), key_names, "left")
     elif rows_per_task is None:
         joined = left.join(right.hint("merge"), key_names, "left")

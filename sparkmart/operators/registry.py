@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookups import DuplicateKeyError, lookup
+from sparkmart.operators.lookups import DuplicateKeyError, lookup, measured_bytes
 from sparkmart.sources.documents import FLAGS
 
 # Patterns and length bounds of a record's fields.
@@ -70,32 +70,25 @@ def new_records(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
     )
 
 
-def _without(rows: DataFrame, removed: DataFrame, copies_per_task: int) -> DataFrame:
-    """``rows`` less one copy of each row of ``removed``.
+def _repeated(counted: DataFrame, columns: Sequence[str], copies_per_task: int) -> DataFrame:
+    """Each row as often as its ``_copies`` says.
 
-    Whole copies shrink to a count before the shuffle. A count too large for one
-    task to write out again is cut into pieces that are spread first.
+    A count too large for one task to write out is cut into pieces that are spread first.
     """
-    signed = rows.withColumn("_copies", F.lit(1)).unionByName(
-        removed.withColumn("_copies", F.lit(-1))
-    )
-    left = signed.groupBy(*rows.columns).agg(F.sum("_copies").alias("_copies"))
-    few = left.where(F.col("_copies").between(1, copies_per_task))
+    few = counted.where(F.col("_copies").between(1, copies_per_task))
     pieces = (
-        left.where(F.col("_copies") > copies_per_task)
-        .select(
-            "*",
-            F.explode(
-                F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(copies_per_task))
-            ).alias("_start"),
+        counted.where(F.col("_copies") > copies_per_task)
+        .withColumn(
+            "_start",
+            F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(copies_per_task))),
         )
-        .repartition(*rows.columns, "_start")
+        .repartition("_digest", "_start")
         .withColumn("_copies", F.least(F.col("_copies") - F.col("_start"), F.lit(copies_per_task)))
         .drop("_start")
     )
     return (
         few.unionByName(pieces)
-        .select(*rows.columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
+        .select(*columns, F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
         .drop("_copy")
     )
 
@@ -110,21 +103,69 @@ def insert_absent(
     """Split ``new`` into the rows to insert and the refused ones.
 
     A row is refused when its key is NULL, is in ``base`` or came earlier in the batch, by
-    the ``arrival`` columns. The earliest row per key is a minimum, so copies of a
-    hot key shrink to one row before the shuffle, and no key's rows are gathered.
-    Of the base only the keys are read. The two results together are all rows of
-    ``new``.
+    the ``arrival`` columns (NULL comes first); of several that arrive together one is taken
+    by its content. Of the base only the keys are read. The two results together are all rows
+    of ``new``, unchanged; columns may be of any type.
+
+    The first arrival per key is a minimum, so a hot key shrinks to one row per task before the
+    shuffle. It is brought back to the batch by ``lookup``, and only rows that arrive with their
+    key's first are compared as a whole, as counted copies. The first arrivals are measured
+    when this is called.
     """
-    rest = [column for column in new.columns if column not in {key, *arrival}]
-    first = F.min(F.struct(*arrival, *rest)).alias("_first")
-    earliest = (
+    columns = list(new.columns)
+    unknown = base.select(key).where(F.col(key).isNotNull())
+    if len(arrival) == 1:
+        # Two flat minima keep the aggregate on hash maps; a struct would sort the batch.
+        place = F.col(arrival[0])
+        first = [F.min(place).alias("_first"), F.max(place.isNull()).alias("_no_place")]
+        same = F.when(F.col("_no_place"), place.isNull()).otherwise(place == F.col("_first"))
+    else:
+        place = F.struct(*arrival)
+        first = [F.min(place).alias("_first"), F.lit(False).alias("_no_place")]
+        same = place.eqNullSafe(F.col("_first"))
+    firsts = (
         new.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(first)
-        .select(*[F.col(c) if c == key else F.col(f"_first.{c}") for c in new.columns])
+        .agg(*first)
+        .join(unknown, key, "left_anti")
+        .withColumn("_open", F.lit(True))
+    )
+    size = measured_bytes(firsts)
+    taken = {name: name for name in ("_first", "_no_place", "_open")}
+    # Text tells -0.0 from 0.0 and has an order for maps too; it is only made of rows
+    # that arrive with their key's first.
+    digest = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    early = (
+        lookup(new, firsts, {key: key}, taken, dimension_bytes=size)
+        .where(F.col("_open") & same)
+        .select(*columns, digest.alias("_digest"), "_first", "_no_place")
+    )
+    contents = early.groupBy(key, "_digest").agg(
+        F.first(F.struct(*columns, "_first", "_no_place")).alias("_row"),
+        F.count("*").alias("_copies"),
+    )
+    # One aggregate gives the accepted rows, their further copies and what the rest is
+    # compared with; Spark computes it once.
+    best = contents.groupBy(key).agg(
+        F.min_by(F.struct("_row", "_copies", "_digest"), "_digest").alias("_best")
+    )
+    whole = [F.col(f"_best._row.{name}").alias(name) for name in columns]
+    further = best.select(
+        *whole, (F.col("_best._copies") - 1).alias("_copies"), F.col("_best._digest").alias("_digest")
     )
-    accepted = earliest.join(base.select(key), key, "left_anti").select(*new.columns)
-    return accepted, _without(new, accepted, copies_per_task)
+    chosen = best.select(
+        key,
+        F.col("_best._row._first").alias("_first"),
+        F.col("_best._row._no_place").alias("_no_place"),
+        F.col("_best._digest").alias("_chosen"),
+    )
+    taken = {name: name for name in ("_first", "_no_place", "_chosen")}
+    # It has no more rows than the first arrivals, whose rows count as 128 bytes or more
+    # each; a digest adds less than that.
+    marked = lookup(new, chosen, {key: key}, taken, dimension_bytes=2 * size)
+    is_chosen = F.col("_chosen").isNotNull() & same & (digest == F.col("_chosen"))
+    refused = marked.where(~F.coalesce(is_chosen, F.lit(False))).select(*columns)
+    return best.select(*whole), refused.unionByName(_repeated(further, columns, copies_per_task))
 
 
 def update_columns(
@@ -133,6 +174,7 @@ def update_columns(
     key: str,
     columns: Sequence[str],
     order: Sequence[str] = (),
+    named: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Overwrite ``columns`` of the rows that ``updates`` names.
 
@@ -140,6 +182,9 @@ def update_columns(
     overwrites. Of several updates for a key the last by ``order`` counts; without
     an order each key may come once, or ``DuplicateKeyError`` is raised. Few updates are
     broadcast, and the base is then not shuffled.
+
+    With ``named``, an array column of ``updates``, each update sets only the columns that its
+    array lists (a NULL array none), and the last update that names a column sets it.
     """
     missing = [c for c in columns if c not in base.columns or c not in updates.columns]
     if missing:
@@ -149,25 +194,32 @@ def update_columns(
         if doubled:
             raise DuplicateKeyError(f"several updates without an order for key {doubled[0]!r}")
     places = [F.col(c).alias(f"_place_{i}") for i, c in enumerate(order)]
-    last = (
-        updates.groupBy(key)
-        .agg(F.max(F.struct(*places, *columns)).alias("_new"))
-        .select(key, *[F.col(f"_new.{c}") for c in columns], F.lit(True).alias("_hit"))
-    )
-    fresh = {f"_new_{c}": c for c in columns}
+    if named is None:
+        groups = {"_new": columns}
+    else:
+        groups = {f"_new_{i}": [c] for i, c in enumerate(columns)}
+
+    def last_of(group: Sequence[str]) -> Column:
+        update = F.struct(*places, *group)
+        return F.max(update if named is None else F.when(F.array_contains(named, group[0]), update))
+
+    last = updates.groupBy(key).agg(*[last_of(group).alias(g) for g, group in groups.items()])
     # The base holds each key once, so no key of it need be spread.
-    matched = lookup(base, last, {key: key}, {**fresh, "_hit": "_hit"}, rows_per_task=None)
+    matched = lookup(base, last, {key: key}, {g: g for g in groups}, rows_per_task=None)
+    group_of = {c: g for g, group in groups.items() for c in group}
     updated = matched.select(
         *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            F.when(F.col(group_of[c]).isNotNull(), F.col(f"{group_of[c]}.{c}"))
+            .otherwise(F.col(c))
+            .alias(c)
             if c in columns
             else F.col(c)
             for c in base.columns
         ]
     )
-    known = base.select(key, F.lit(True).alias("_known"))
-    unknown = lookup(updates, known, {key: key}, {"_known": "_known"})
-    return updated, unknown.where(F.col("_known").isNull()).drop("_known")
+    # An anti join keeps NULL keys, and Spark splits a skewed side of it at run time.
+    unknown = updates.join(base.select(key), key, "left_anti").select(*updates.columns)
+    return updated, unknown
 
 
 def list_keys(base: DataFrame, key: str = "name") -> DataFrame:

@@ -25,7 +25,7 @@ CROSS = {
 }
 
 
-@pytest.mark.parametrize("slots", [1, 3, 16])
+@pytest.mark.parametrize("slots", [None, 1, 3, 16])
 def test_cross_rates(spark, slots):
     result = cross_rates(exchange_rates(spark), "EUR", slots)
     got = {(r.from_currency, r.to_currency): r.rate for r in result.collect()}
@@ -33,6 +33,16 @@ def test_cross_rates(spark, slots):
     assert result.count() == 16
 
 
+def test_slots_follow_the_quotes(spark):
+    rates = spark.range(600).selectExpr(
+        "'EUR' AS base_cur", "cast(id AS string) AS quote_cur", "1.0D + id AS rate"
+    )
+    found = cross_rates(rates, "EUR")
+    assert found.count() == 360_000
+    assert found.select("from_currency", "to_currency").distinct().count() == 360_000
+    assert cross_rates(rates.limit(0), "EUR").count() == 0
+
+
 def test_cross_rates_is_an_equi_join(spark, plan_of):
     plan = plan_of(cross_rates(exchange_rates(spark), "EUR"))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

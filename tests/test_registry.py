@@ -96,6 +96,37 @@ def test_whole_copies_are_inserted_once(spark, copies_per_task):
     }
 
 
+def test_rows_come_back_as_they_were(spark):
+    """Maps, signed zeros, NULL arrivals and ties: nothing changes and nothing is lost."""
+    new = spark.sql(
+        """SELECT * FROM VALUES
+        ('a', 1, map('k', 1), -0.0D), ('a', 1, map('k', 2), 0.0D), ('a', 2, NULL, -0.0D),
+        ('b', NULL, map('k', 3), 1.0D), ('b', 0, map('k', 3), 1.0D),
+        ('c', 1, map('k', 4), -0.0D), ('c', 1, map('k', 4), -0.0D), ('t', 1, map(), -0.0D),
+        (NULL, 1, map('k', 5), -0.0D) AS t(name, arrival, tags, size)"""
+    )
+    base = spark.sql("SELECT * FROM VALUES ('t'), (NULL) AS t(name)")
+    accepted, refused = insert_absent(base, new, "name", ["arrival"])
+
+    def counted(*parts):
+        return Counter(str(tuple(row)) for part in parts for row in part.collect())
+
+    assert counted(accepted, refused) == counted(new)
+    assert sorted(row["name"] for row in accepted.collect()) == ["a", "b", "c"]
+    assert {row["name"]: row["arrival"] for row in accepted.collect()} == {"a": 1, "b": None, "c": 1}
+    two = insert_absent(base, new, "name", ["arrival", "size"])
+    assert counted(*two) == counted(new)
+
+
+def test_insert_sorts_no_batch(spark, plan_of):
+    """Only rows that arrive first with their key are compared as a whole."""
+    batch = spark.range(1000).selectExpr("id % 7 AS name", "id AS arrival", "uuid() AS note")
+    batch = batch.select("name", "arrival", batch.note.substr(1, 3).alias("note"))
+    accepted, _ = insert_absent(batch.select("name").limit(0), batch, "name", ["arrival"])
+    plan = plan_of(accepted, "simple")
+    assert "HashAggregate(keys=[name" in plan.replace("#", " ").replace("name ", "name")
+
+
 def test_insert_shrinks_hot_keys_before_the_shuffle(spark, plan_of):
     batch = spark.range(10).selectExpr("id % 2 AS name", "id AS arrival")
     accepted, _ = insert_absent(batch.select("name").limit(0), batch, "name", ["arrival"])
@@ -152,6 +183,33 @@ def test_all_null_update_still_overwrites(spark, base):
     assert tuple(updated.where("name = 'a'").first()) == ("a", None, None)
 
 
+def test_updates_that_name_their_own_columns(spark, base):
+    updates = spark.createDataFrame(
+        [
+            ("a", 1, 50, "one", ["size"]),
+            ("a", 2, 70, "two", ["note"]),
+            ("a", 3, None, None, []),
+            ("b", 1, None, "x", ["size", "note"]),
+            ("b", 2, 8, None, ["note"]),
+            ("c", 1, 9, "n", None),
+            ("z", 1, 9, "n", ["size"]),
+        ],
+        "name string, at int, size int, note string, sets array<string>",
+    )
+    updated, unknown = update_columns(base, updates, "name", ["size", "note"], ["at"], "sets")
+    assert sorted(tuple(row) for row in updated.collect()) == [
+        ("a", 50, "two"),
+        ("b", None, None),
+        ("c", 3, None),
+    ]
+    assert [row["name"] for row in unknown.collect()] == ["z"]
+
+
+def test_unknown_updates_take_no_job_of_the_base(spark, base, plan_of):
+    _, unknown = update_columns(base, base, "name", ["size"])
+    assert "LeftAnti" in plan_of(unknown, "simple")
+
+
 def test_update_of_missing_column(base):
     with pytest.raises(ValueError, match="colour"):
         update_columns(base, base, "name", ["colour"])
