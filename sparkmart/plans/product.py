@@ -20,11 +20,13 @@ from pyspark.sql import types as T
 from sparkmart.operators.contract import Contract, enforce
 from sparkmart.operators.policy import ColumnMask, Identity, RowFilter, TableName, secure
 from sparkmart.sources.delimited import read_seed
-from sparkmart.sources.tables import SourceTable, full_refresh, replace_view
+from sparkmart.sources.tables import SourceTable, full_refresh, remove_superseded, replace_view
 from sparkmart.workspace import shared_folder
 
 Version = str | float | int | None
 
+SESSION_CATALOG = "spark_catalog"
+
 
 def _text(version: Version) -> str | None:
     """Versions are told apart by their text, so 1.0 and "1.0" are one version."""
@@ -87,15 +89,21 @@ class ModelContext:
 
 @dataclass
 class Product:
-    """Models under ``catalog.schema``; the same models fit any namespace."""
+    """Models under ``catalog.schema``; the same models fit any namespace.
+
+    Models are published in the session's own catalog, whose tables can be pointed at new files;
+    another catalog is refused here. Sources may come from any catalog.
+    """
 
     spark: SparkSession
     schema: str
-    catalog: str = "spark_catalog"
+    catalog: str = SESSION_CATALOG
     root: str | None = None
     policies: list[RowFilter | ColumnMask] = field(default_factory=list)
 
     def __post_init__(self) -> None:
+        if self.catalog != SESSION_CATALOG:
+            raise ValueError(f"models are published in {SESSION_CATALOG}, not in {self.catalog!r}")
         base = self.root or f"{shared_folder(self.spark)}/sparkmart/products"
         self.root = f"{base.rstrip('/')}/{self.catalog}/{self.schema}"
         self._models: dict[tuple[str, str | None], Model] = {}
@@ -286,6 +294,30 @@ class Product:
     def output_ports(self) -> dict[str, Model]:
         return self.relations(output_port="true")
 
+    def published_ports(self) -> list[str]:
+        """Output ports by the tags in the catalog, so another session sees them as well. A
+        view of a function is not stored and so not listed."""
+        listed = self.spark.catalog.listTables(f"`{self.catalog}`.`{self.schema}`")
+        names = sorted(table.name for table in listed if not table.isTemporary)
+        ports = []
+        for name in names:
+            tags = self.spark.sql(f"SHOW TBLPROPERTIES {self._qualified(name)}")
+            if not tags.where("key = 'meta.output_port' AND value = 'true'").isEmpty():
+                ports.append(name)
+        return ports
+
+    def remove_superseded(self) -> list[str]:
+        """Delete folders of earlier builds that no table points at, and give their paths.
+
+        Call it when no reader of an earlier build is left.
+        """
+        removed = []
+        for key, name in self._built.items():
+            model = self._models.get(key)
+            if model is None or model.materialized == "table":
+                removed += remove_superseded(self.spark, name, self.root)
+        return removed
+
     # Building
 
     def build_order(self) -> list[tuple[str, str | None]]:

@@ -104,3 +104,56 @@ def monthly(converted: DataFrame, currency: str = "EUR", ordered: bool = True) -
     return totals.orderBy(
         *[F.asc_nulls_last(c) for c in ("sales_year", "sales_month", "country_code")]
     )
+
+
+def _text(value: str) -> str:
+    """A text literal for SQL whose braces name references."""
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + quoted.replace("{", "{{").replace("}", "}}") + "'"
+
+
+def chain_sql(
+    replacements: Mapping[str, str] = COUNTRY_CODES, to: str = "EUR", default_rate: float = 1.0
+) -> dict[str, str]:
+    """The three models above as SQL text for stored views, in the order of building.
+
+    ``{sales}``, ``{countries}`` and ``{exchange_rates}`` are the relations they start from.
+    Stored text holds no join choices: Spark makes them by size each time a view is read.
+    """
+    suffix = to.lower()
+    recoded = "upper(country)"
+    if replacements:
+        cases = " ".join(f"when {_text(old)} then {_text(new)}" for old, new in replacements.items())
+        recoded = f"case upper(country) {cases} else upper(country) end"
+    rate = f"coalesce(q.rate, cast({default_rate} as double))"
+    amount = f"cast(amount * {rate} as decimal(18,2))"
+    return {
+        "stg_sales": f"""
+            with typed as (
+                select cast(datetime as timestamp_ntz) as sold_at, cast(amount as double) as amount,
+                       upper(currency) as currency, {recoded} as country_code,
+                       cast(store_id as int) as store_id
+                from {{sales}}
+            )
+            select t.*, c.country_name, c.currency as country_currency
+            from typed t left join {{countries}} c on t.country_code = c.country_code
+        """,
+        f"fct_sales_{suffix}": f"""
+            with quotes as (
+                select upper(base_cur) as base_cur, cast(rate as double) as rate
+                from {{exchange_rates}} where upper(quote_cur) = {_text(to.upper())}
+            )
+            select sold_at, store_id, country_code, country_name, currency as sale_currency,
+                   amount as amount_original, {rate} as fx_rate_to_{suffix},
+                   {amount} as amount_{suffix}
+            from {{stg_sales}} left join quotes q on upper(currency) = q.base_cur
+        """,
+        f"mart_monthly_sales_{suffix}": f"""
+            select cast(year(sold_at) as bigint) as sales_year,
+                   cast(month(sold_at) as bigint) as sales_month, country_code, country_name,
+                   cast(sum(amount_{suffix}) as decimal(18,2)) as total_sales_{suffix},
+                   count(*) as transactions
+            from {{fct_sales_{suffix}}} group by all
+            order by sales_year nulls last, sales_month nulls last, country_code nulls last
+        """,
+    }

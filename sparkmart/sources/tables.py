@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -49,11 +51,11 @@ def full_refresh(
     The rows go to a new directory below ``root`` first, and only then is the
     table pointed at it. So ``df`` may read the very table it replaces, a failed
     write leaves the old content in place, and running readers keep their files.
-    Old directories stay until the storage's own retention removes them.
+    Old directories stay until ``remove_superseded`` or the storage's own retention removes
+    them. A table of another layout is dropped and made anew after its rows are written.
     """
     spark = df.sparkSession
-    root = (root or f"{shared_folder(spark)}/sparkmart/tables").rstrip("/")
-    location = f"{root}/{table.replace('`', '')}/{uuid.uuid4().hex}"
+    location = f"{_folder(spark, table, root)}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(location)
 
     if _is_view(spark, table):
@@ -70,6 +72,33 @@ def full_refresh(
     return spark.table(table)
 
 
+def _folder(spark: SparkSession, table: str, root: str | None) -> str:
+    root = (root or f"{shared_folder(spark)}/sparkmart/tables").rstrip("/")
+    return f"{root}/{table.replace('`', '')}"
+
+
+def remove_superseded(spark: SparkSession, table: str, root: str | None = None) -> list[str]:
+    """Delete the directories of earlier refreshes of ``table``, and give their paths.
+
+    Only directories that ``full_refresh`` named, under the same ``root``, are deleted, and never
+    the one in use. The caller sees to it that no reader or refresh is under way.
+    """
+    located = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(_folder(spark, table, root))
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if located is None or not files.exists(folder):
+        return []
+    current = posixpath.basename(located["data_type"].rstrip("/"))
+    below = [status.getPath() for status in files.listStatus(folder) if status.isDirectory()]
+    if current not in [path.getName() for path in below]:
+        return []
+    old = [p for p in below if re.fullmatch("[0-9a-f]{32}", p.getName()) and p.getName() != current]
+    for path in old:
+        files.delete(path, True)
+    return sorted(path.toString() for path in old)
+
+
 def _is_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
 

@@ -17,7 +17,7 @@ from sparkmart.operators import (
     tail_mask,
 )
 from sparkmart.operators import cross_rates as rate_matrix
-from sparkmart.plans import Product, convert, monthly, stage
+from sparkmart.plans import Product, chain_sql, convert, monthly, stage
 from sparkmart.workload import rates, sales
 from sparkmart.workload.tables import lay_table, load
 
@@ -83,6 +83,23 @@ def model_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product.build()["urgent_spending"]
 
 
+def sales_chain_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales chain as views stored in the catalog, over a landed table and two seeds."""
+    product = Product(spark, "sparkmart_sales_sql")
+    product.seed("countries", lambda spark: sales.countries(spark, sf_dir))
+    product.seed("exchange_rates", sales.exchange_rates)
+
+    @product.model("sales", materialized="table")
+    def landed(ctx):
+        return sales.raw_sales(ctx.spark, sf_dir)
+
+    texts = chain_sql(sales.REPLACEMENTS)
+    for name, text in texts.items():
+        port = {"output_port": "true"} if name.startswith("mart") else {}
+        product.model(name, sql=text, meta=port)
+    return product.build()["mart_monthly_sales_eur"]
+
+
 def model_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product built into two namespaces."""
     parts = []
@@ -146,7 +163,7 @@ def model_output_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the relations tagged as output ports."""
     product = Product(spark, "sparkmart_ports")
     product.declare_source("orders", lay_table(spark, sf_dir, "orders", "sparkmart_ports_lake"))
-    port = {"output_port": "true", "brand_content": "glb"}
+    port = {"output_port": "true", "audience": "finance"}
     product.model(
         "open_orders",
         meta=port,
@@ -219,6 +236,7 @@ def model_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "model_chain_view": model_chain_view,
     "model_chain_sql": model_chain_sql,
+    "sales_chain_sql": sales_chain_sql,
     "model_namespaces": model_namespaces,
     "model_table_contract": model_table_contract,
     "model_versions": model_versions,
@@ -236,6 +254,7 @@ _BY_NATION = """
 ORACLES = {
     "model_switch": "select n_regionkey, count(*) as nations from nation group by 1",
     "model_chain_view": sales.MART,
+    "sales_chain_sql": sales.MART,
     "model_chain_sql": """
         select n_name, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as spent,
                count(*) as orders

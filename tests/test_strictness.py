@@ -2,9 +2,11 @@
 
 import pytest
 from pyspark.sql import types as T
+
+from sparkmart import workload
 from sparkmart.operators import Identity, RowFilter, TableName, insert_absent, update_columns
 from sparkmart.operators.lookups import DuplicateKeyError, lookup
-from sparkmart.plans import Product
+from sparkmart.plans import Product, chain_sql
 from sparkmart.sources.delimited import read_delimited, read_seed
 from sparkmart.sources.raw import parse_raw
 
@@ -149,3 +151,41 @@ def test_skewed_lookup_stays_shuffled(spark, sf_dir, plan_of):
     from sparkmart.workload import queries
 
     assert "SortMergeJoin" in plan_of(queries()["lookup_skewed_large"](spark, sf_dir))
+
+
+def test_published_ports_come_from_the_catalog(spark, sf_dir):
+    workload.queries()["sales_chain_sql"](spark, sf_dir)
+    fresh = Product(spark.newSession(), "sparkmart_sales_sql")
+    assert fresh.published_ports() == ["mart_monthly_sales_eur"]
+    mart = "spark_catalog.sparkmart_sales_sql.mart_monthly_sales_eur"
+    stored = fresh.spark.table(mart).collect()
+    assert stored == workload.queries()["mart_monthly_sales"](spark, sf_dir).collect()
+
+
+def test_other_catalogs_are_refused(spark):
+    with pytest.raises(ValueError, match="published in spark_catalog"):
+        Product(spark, "anywhere", catalog="elsewhere")
+
+
+def test_only_superseded_folders_are_removed(spark, tmp_path):
+    product = Product(spark, "strict_clean", root=str(tmp_path))
+    product.seed("numbers", lambda spark: spark.range(3))
+    for _ in range(3):
+        product.build()
+    assert len(product.remove_superseded()) == 2
+    assert product.remove_superseded() == []
+    assert product.ref("numbers").count() == 3
+
+
+def test_chain_text_keeps_quotes_and_braces(spark):
+    product = Product(spark, "strict_text")
+    columns = "'2024-01-02' AS datetime, 2.5 AS amount, 'eur' AS currency, '{o''k}' AS country, 1 AS store_id"
+    product.seed("sales", lambda spark: spark.sql(f"SELECT {columns}"))
+    product.seed("countries", lambda spark: spark.sql(
+        "SELECT 'N{w' AS country_code, 'New' AS country_name, 'EUR' AS currency"))
+    product.seed("exchange_rates", lambda spark: spark.sql(
+        "SELECT 'EUR' AS base_cur, 'EUR' AS quote_cur, 1 AS rate"))
+    for name, text in chain_sql({"{O'K}": "N{w"}).items():
+        product.model(name, sql=text)
+    row = product.build()["mart_monthly_sales_eur"].first()
+    assert (row["country_name"], row["transactions"]) == ("New", 1)
