@@ -24,8 +24,8 @@ from sparkmart.workspace import fresh_folder
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROWS_PER_TASK = 5_000_000
-# Two numbers per hot key: some tens of megabytes at most.
-MAX_BROADCAST_SLOTS = 500_000
+# Two numbers are broadcast per hot key: some tens of megabytes at most.
+MAX_HOT_KEYS = 500_000
 
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
@@ -125,7 +125,7 @@ def lookup(
 
 
 def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> DataFrame:
-    """(key hash, slots) of the keys with more rows than one task should get.
+    """(key hash, slots, rows) of the keys with more rows than one task should get.
 
     Counted in full, with map-side partial counts, and written to a small table,
     since both sides of the join read it. It has fewer rows than the fact has
@@ -135,20 +135,28 @@ def _hot_keys(left: DataFrame, key_names: list[str], rows_per_task: int) -> Data
         F.count("*").alias("_rows")
     )
     hot = counted.where(F.col("_rows") > rows_per_task).select(
-        "_key_hash", F.ceil(F.col("_rows") / rows_per_task).alias("_slots")
+        "_key_hash", F.ceil(F.col("_rows") / rows_per_task).alias("_slots"), "_rows"
     )
     return write_parquet(hot, fresh_folder(left.sparkSession, "hot_keys"))
 
 
 def _spread_join(
-    left: DataFrame, right: DataFrame, key_names: list[str], rows_per_task: int
+    left: DataFrame,
+    right: DataFrame,
+    key_names: list[str],
+    rows_per_task: int,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     slots = _hot_keys(left, key_names, rows_per_task)
     hot = slots.count()
     if hot == 0:
         return left.join(right.hint("merge"), key_names, "left")
-    if hot <= MAX_BROADCAST_SLOTS:
-        slots = F.broadcast(slots)
+    if hot > max_hot_keys:
+        # Fewer than this many keys can hold more than an equal share of the hot rows. The
+        # others are left whole: each is a tiny share of the fact.
+        share = slots.agg(F.sum("_rows")).first()[0] / max_hot_keys
+        slots = slots.where(F.col("_rows") > share)
+    slots = F.broadcast(slots.drop("_rows"))
 
     def with_slots(df: DataFrame) -> DataFrame:
         hashed = df.withColumn("_key_hash", F.xxhash64(*key_names))

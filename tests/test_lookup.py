@@ -134,3 +134,13 @@ def test_measured_size_covers_nested_and_text_columns(spark):
     wide = spark.createDataFrame([("x" * 1000, ["y" * 1000])], "a string, b array<string>")
     assert lookups._measure(wide, ["a"], False) > 2000
     assert lookups._measure(wide.where("false"), ["a"], False) == 0
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_too_many_hot_keys_split_the_largest(tables, most):
+    fact, dimension, fact_df, dimension_df = tables
+    left = fact_df.withColumn("_key_0", F.col("code"))
+    right = dimension_df.select(F.col("key").alias("_key_0"), F.col("value").alias("found"))
+    joined = lookups._spread_join(left, right, ["_key_0"], 50, most)
+    got = Counter(tuple(row) for row in joined.select("number", "code", "found").collect())
+    assert got == brute_force(fact, dimension)
