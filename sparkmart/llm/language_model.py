@@ -281,9 +281,11 @@ def _grouped(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     order = np.argsort(rows, kind="stable")
     ordered = np.take(rows, order)
     last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
-    running = np.take(np.cumsum(np.take(values, order, axis=0), axis=0), last, axis=0)
+    # Two neighbouring values as one complex number: the same sums in half the additions.
+    pairs = np.take(values, order, axis=0).view(np.complex64)
+    running = np.take(np.cumsum(pairs, axis=0), last, axis=0)
     running[1:] -= running[:-1].copy()
-    return ordered[last], running
+    return ordered[last], running.view(np.float32)
 
 
 class _Trainer:
@@ -292,7 +294,6 @@ class _Trainer:
     def __init__(self, start: np.ndarray):
         self.weights = _Weights(start)
         self.squares = _Weights()
-        self.steps = 0
 
     def _move(self, part: str, rows: np.ndarray, gradient: np.ndarray) -> None:
         squares, weights = getattr(self.squares, part), getattr(self.weights, part)
@@ -315,11 +316,9 @@ class _Trainer:
         scale = np.float32(1 / np.sqrt(len(cells)))
         upper *= scale
         lower *= scale
-        # Block coordinates: a step moves every other kind of feature, the next step the rest.
-        self.steps += 1
-        for kind in range(self.steps % 2, len(features), 2):
-            self._move("upper", *_grouped(features[kind], upper))
-            self._move("lower", *_grouped(rows[kind], lower))
+        for own, below in zip(features, rows, strict=True):
+            self._move("upper", *_grouped(own, upper))
+            self._move("lower", *_grouped(below, lower))
         self._move("upper_bias", np.zeros(1, np.int64), upper.sum(axis=0, keepdims=True))
         self._move("lower_bias", *_grouped(classes.astype(np.uint16), lower))
 
