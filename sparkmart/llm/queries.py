@@ -12,7 +12,7 @@ from sparkmart.llm.near_duplicates import near_duplicates
 from sparkmart.llm.packing import pack
 from sparkmart.llm.quality import score_documents as quality_scores
 from sparkmart.llm.quality_rules import apply_rules
-from sparkmart.llm.sharding import SHARDS, SLOTS, place
+from sparkmart.llm.sharding import SHARDS, SLOTS, write_shards
 from sparkmart.llm.toxicity import score_documents as toxicity_scores
 from sparkmart.llm.warc import FIRST_CAPTURE, archive_pages
 
@@ -74,8 +74,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return place(docs, "doc_id")
+    sharded = write_shards(table(spark, sf_dir, "documents"), "doc_id")
+    return sharded.select("doc_id", "source", "n_chars", "shard_slot", "shard")
 
 
 OP7 = f"""

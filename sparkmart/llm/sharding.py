@@ -14,6 +14,8 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.workspace import fresh_folder
+
 SHARDS = tuple(f"shard-{number:02d}" for number in range(32))
 SLOTS = 4093
 MOST_SLOTS = 1 << 20
@@ -72,3 +74,17 @@ def place(
     return df.withColumn("shard_slot", slot_of(F.col(key), slots)).join(
         F.broadcast(found), "shard_slot"
     ).select(*(df[name] for name in df.columns), "shard_slot", "shard")
+
+
+def write_shards(
+    df: DataFrame, key: str, shards: tuple[str, ...] = SHARDS, slots: int = SLOTS
+) -> DataFrame:
+    """The rows of ``place``, all columns, written to a folder per shard and read back.
+
+    Each task writes its own rows of a shard to a file, so ``df`` is not shuffled and equal keys
+    do not meet in one task. Shard names must not be empty.
+    """
+    placed = place(df, key, shards, slots)
+    path = fresh_folder(df.sparkSession, "llm/shards")
+    placed.write.partitionBy("shard").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)
