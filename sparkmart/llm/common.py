@@ -19,6 +19,7 @@ SCHEMAS = {
     "labels": "doc_id bigint, quality int, toxic int",
     "pages": "page_id bigint, url string, html string",
     "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SPACES = b" \t\n\x0b\x0c\r"

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkmart.llm.common import table
 from sparkmart.llm.decontamination import contaminated
 from sparkmart.llm.language_model import score_documents as language_model_scores
 from sparkmart.llm.line_dedup import kept_digests
+from sparkmart.llm.mixing import MOST_COPIES, ONE, SEED, WEIGHTS, plan_mix
 from sparkmart.llm.near_duplicates import near_duplicates
 from sparkmart.llm.packing import pack
+from sparkmart.llm.periodic_runs import periodic_runs, planted
 from sparkmart.llm.quality import score_documents as quality_scores
 from sparkmart.llm.quality_rules import apply_rules
 from sparkmart.llm.sharding import SHARDS, SLOTS, write_shards
 from sparkmart.llm.toxicity import score_documents as toxicity_scores
+from sparkmart.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, vector_codes
 from sparkmart.llm.warc import FIRST_CAPTURE, archive_pages
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -183,6 +187,119 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _op11() -> str:
+    """Rounds as a chain of subqueries: points by part, entries as lists of whole numbers."""
+    apart = "list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.v[i]) ** 2))"
+
+    def nearest(books: str) -> str:
+        return f"""
+            select vec_id, row, part, v, entry, apart from (
+                select p.*, c.entry, cast({apart} as bigint) as apart,
+                    row_number() over (partition by p.row, p.part order by {apart}, c.entry) as place
+                from points p join {books} c on p.part = c.part)
+            where place = 1"""
+
+    steps = [
+        f"""kept as (
+            select vec_id, label, row_number() over (order by vec_id nulls last) as row,
+                list_transform(embedding, lambda x: cast(floor({SCALE} * x::double) as bigint)) as v
+            from embeddings
+            where embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"""points as materialized (
+            select vec_id, row, part, v[1 + part * len(v) // {PARTS} : (part + 1) * len(v) // {PARTS}] as v
+            from kept, (select unnest(range({PARTS})) as part))""",
+        f"""books0 as materialized (
+            select part, row - 1 as entry, v from points where row <= {ENTRIES})""",
+    ]
+    for turn in range(ROUNDS):
+        steps.append(f"near{turn} as materialized ({nearest(f'books{turn}')})")
+        steps.append(f"""means{turn} as (
+            select part, entry, list(mean order by place) as v from (
+                select part, entry, place,
+                    (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as mean
+                from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as place from near{turn})
+                group by part, entry, place)
+            group by part, entry)""")
+        steps.append(f"""books{turn + 1} as materialized (
+            select b.part, b.entry, cast(coalesce(m.v, b.v) as bigint[]) as v
+            from books{turn} b left join means{turn} m on b.part = m.part and b.entry = m.entry)""")
+    steps.append(f"near{ROUNDS} as materialized ({nearest(f'books{ROUNDS}')})")
+    steps.append(f"""coded as (
+        select row, string_agg(printf('%02x', entry), '' order by part) as code,
+            cast(sum(apart) as bigint) as error
+        from near{ROUNDS} group by row)""")
+    return f"""
+with {", ".join(steps)}
+select k.vec_id, c.code, c.error,
+    cast(sum(c.error) over (partition by k.label) as bigint) as label_error,
+    (select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) from books{ROUNDS})
+        as codebooks_sha256
+from kept k join coded c on k.row = c.row
+"""
+
+
+OP11 = _op11()
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = plan_mix(table(spark, sf_dir, "documents"))
+    return plan.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+OP12 = f"""
+with sized as (
+    select doc_id, len({_WORDS.format("coalesce(text, '')")}) as size,
+        coalesce('0' || source, '1') as source_key
+    from documents
+),
+sources as (
+    select source_key, sum(size)::bigint as source_size,
+        {list(WEIGHTS)}[1 + (row_number() over (order by source_key) - 1) % {len(WEIGHTS)}] as weight
+    from sized group by source_key
+),
+bounded as (
+    select *, ({MOST_COPIES} * source_size)::double / weight as ratio from sources
+),
+levels as (
+    select *, (sum(source_size) over ()
+            - coalesce(sum({MOST_COPIES} * source_size) over earlier, 0))::double
+        / (sum(weight) over () - coalesce(sum(weight) over earlier, 0))::double as level
+    from bounded
+    window earlier as (order by ratio, source_key rows between unbounded preceding and 1 preceding)
+),
+targets as (
+    select source_key, source_size, least((3 * source_size)::double, weight
+        * (select arg_min(level, (ratio, source_key)) from levels where ratio >= level)) as target
+    from levels
+),
+rated as (
+    select *, case when source_size > 0 then round(target / source_size * {ONE})::bigint else 0 end
+        as expected,
+        ('0x' || substr(md5('{SEED}/' || source_key), 1, 7))::bigint * {ONE >> 28} as start
+    from targets
+),
+summed as (
+    select s.doc_id, s.size, r.*, row_number() over (
+        partition by s.source_key order by s.size, md5(coalesce(s.doc_id::varchar, ''))) as place
+    from sized s join rated r on s.source_key = r.source_key
+)
+select doc_id, size, source_size, target,
+    cast((start + place::hugeint * expected) // {ONE} - (start + (place - 1)::hugeint * expected) // {ONE}
+        as bigint) as copies,
+    copies * size as taken
+from summed
+"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), arrange=planted)
+
+
 QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
     "op1_warc_index": op1_warc_index,
@@ -194,10 +311,15 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {
     "op1_warc_index": OP1,
     "op7_sharding": OP7,
     "op8_line_dedup": OP8,
     "op9_minhash_near_dedup": OP9,
+    "op11_vector_codes": OP11,
+    "op12_source_mixing": OP12,
 }
