@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from sparkmart.operators.contract import Contract, enforce
 from sparkmart.operators.policy import ColumnMask, Identity, RowFilter, TableName, secure
+from sparkmart.plans.governed import governed_query
 from sparkmart.sources.delimited import read_seed
 from sparkmart.sources.tables import SourceTable, full_refresh, remove_superseded, replace_view
 from sparkmart.workspace import shared_folder
@@ -239,34 +240,21 @@ class Product:
         return secure(self.source(name), table, identity, self.policies)
 
     def sql(self, text: str, identity: Identity | None = None) -> DataFrame:
-        """Query built relations and sources, each named in braces, as ``identity``."""
-        names = _names_in(text)
-        self._refuse_other_relations(text, names)
+        """Query built relations and sources, each named in braces, as ``identity``.
+
+        The text must be a query, and its resolved plan may read nothing else: a command, or
+        a table reached in any other way, raises ``PermissionError`` and changes nothing.
+        """
         by_relation = {self._relation_of(key): key for key in self._built}
         frames = {}
-        for name in names:
+        for name in _names_in(text):
             if name in by_relation:
                 frames[name] = self._governed(by_relation[name], identity)
             elif name in self._sources:
                 frames[name] = self.read_source(name, identity)
             else:
                 frames[name] = self.read(name, identity)
-        return self.spark.sql(text, **frames)
-
-    def _refuse_other_relations(self, text: str, names: set[str]) -> None:
-        """Refuse query text that reads anything but the names in braces.
-
-        A table named directly would be read past the policies. Names that the text itself
-        gives to its subqueries are allowed where no table or view has them.
-        """
-        plain = text.format_map({name: f"_braced_{i}" for i, name in enumerate(sorted(names))})
-        parser = self.spark._jsparkSession.sessionState().sqlParser()
-        parsed = parser.parsePlan(plain).treeString()
-        for found in re.findall(r"'?UnresolvedRelation \[([^\]]*)\]", parsed):
-            if found.startswith("_braced_"):
-                continue
-            if "," in found or self.spark.catalog.tableExists(f"`{found}`"):
-                raise PermissionError(f"query text must name {found!r} in braces")
+        return governed_query(self.spark, text, frames)
 
     def _governed(self, key: tuple[str, str | None], identity: Identity | None) -> DataFrame:
         table = TableName(self.catalog, self.schema, self._relation_of(key))
