@@ -21,7 +21,14 @@ from sparkmart.operators.contract import Contract, enforce
 from sparkmart.operators.policy import ColumnMask, Identity, RowFilter, TableName, secure
 from sparkmart.plans.governed import governed_query
 from sparkmart.sources.delimited import read_seed
-from sparkmart.sources.tables import SourceTable, full_refresh, remove_superseded, replace_view
+from sparkmart.sources.tables import (
+    SourceTable,
+    finish_publishing,
+    publish_all,
+    remove_superseded,
+    store_version,
+    store_view_version,
+)
 from sparkmart.workspace import shared_folder
 
 Version = str | float | int | None
@@ -67,6 +74,16 @@ class Model:
     def relation(self) -> str:
         return relation_name(self.name, self.alias, self.version)
 
+    @property
+    def for_session(self) -> bool:
+        """A view of a function cannot be stored and lasts as long as the session."""
+        return self.materialized == "view" and not isinstance(self.body, str)
+
+    @property
+    def tags(self) -> dict[str, str]:
+        tags = {f"meta.{tag}": value for tag, value in self.meta.items()}
+        return tags | ({"description": self.description} if self.description else {})
+
 
 @dataclass
 class ModelContext:
@@ -220,7 +237,7 @@ class Product:
         if key not in self._built:
             raise LookupError(f"{name!r} is not built yet")
         model = self._models.get(key)
-        if model and model.materialized == "view" and not isinstance(model.body, str):
+        if model and model.for_session:
             if not self._building:
                 # A function's plan may hold choices by size, so each read plans anew.
                 self._built[key] = self._build_model(model)
@@ -295,14 +312,13 @@ class Product:
         return ports
 
     def remove_superseded(self) -> list[str]:
-        """Delete folders of earlier builds that no table points at, and give their paths.
+        """Drop versions of earlier builds that no relation points at, and give their folders.
 
         Call it when no reader of an earlier build is left.
         """
         removed = []
         for key, name in self._built.items():
-            model = self._models.get(key)
-            if model is None or model.materialized == "table":
+            if key not in self._models or not self._models[key].for_session:
                 removed += remove_superseded(self.spark, name, self.root)
         return removed
 
@@ -324,32 +340,49 @@ class Product:
         return [by_relation[name] if name in by_relation else self._key(name) for name in names]
 
     def build(self) -> dict[str, DataFrame]:
-        """Load the seeds, build every model, and return all relations by name."""
+        """Load the seeds, build every model, and return all relations by name.
+
+        Everything is made as versions first, each model over the versions of what it refers to,
+        and then published at once: a failure in any model leaves all relations as they were.
+        """
         order = self.build_order()
         self.spark.sql(
             f"CREATE SCHEMA IF NOT EXISTS `{self.catalog}`.`{self.schema}` "
             f"LOCATION '{self.root}'"
         )
-        self._built.clear()
+        self.recover()
+        before, self._built = self._built, {}
         self._building = True
+        found: dict[str, tuple[str, dict]] = {}
         try:
             for key in order:
-                if key in self._models:
-                    self._built[key] = self._build_model(self._models[key])
-                else:
+                model = self._models.get(key)
+                if model is None:
                     rows = self._seeds[key[0]]
                     rows = rows(self.spark) if callable(rows) else rows
-                    self._built[key] = self._store(rows, key[0], {})
+                    self._built[key] = store_version(rows, self._qualified(key[0]), self.root)
+                else:
+                    self._built[key] = self._build_model(model)
+                if model is None or not model.for_session:
+                    name = self._qualified(self._relation_of(key))
+                    found[name] = self._built[key], model.tags if model else {}
+            publish_all(self.spark, f"`{self.catalog}`.`{self.schema}`", found)
+        except BaseException:
+            self._built = before
+            raise
         finally:
             self._building = False
+        for key in order:
+            if key not in self._models or not self._models[key].for_session:
+                self._built[key] = self._qualified(self._relation_of(key))
         return {self._relation_of(key): self.spark.table(name) for key, name in self._built.items()}
 
-    def _store(self, rows: DataFrame, relation: str, properties: Mapping[str, str]) -> str:
-        name = self._qualified(relation)
-        full_refresh(rows, name, self.root, properties)
-        return name
+    def recover(self) -> list[str]:
+        """Publish what a build had begun to publish when its driver was lost; gives the tables."""
+        return finish_publishing(self.spark, f"`{self.catalog}`.`{self.schema}`")
 
     def _build_model(self, model: Model) -> str:
+        """Make a version of a model, or a session's view of a function, and give its name."""
         if isinstance(model.body, str):
             text = model.body.format_map(self._placeholders())
             rows = self.spark.sql(text)
@@ -357,15 +390,11 @@ class Product:
             rows = model.body(ModelContext(self, model))
         if model.contract is not None:
             rows = enforce(rows, model.contract)
-        properties = {f"meta.{tag}": value for tag, value in model.meta.items()}
-        if model.description:
-            properties["description"] = model.description
+        name = self._qualified(model.relation)
         if model.materialized == "table":
-            return self._store(rows, model.relation, properties)
+            return store_version(rows, name, self.root)
         if isinstance(model.body, str):
-            name = self._qualified(model.relation)
-            replace_view(rows, text, name, properties)
-            return name
+            return store_view_version(rows, text, name)
         view = f"{self.catalog}__{self.schema}__{model.relation}"
         rows.createOrReplaceTempView(view)
         return f"`{view}`"
