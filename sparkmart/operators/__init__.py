@@ -21,15 +21,18 @@ from sparkmart.operators.registry import (
     validate,
     with_reasons,
 )
+from sparkmart.operators.registry_store import ConflictError, RegistryStore
 
 __all__ = [
     "ColumnMask",
+    "ConflictError",
     "Contract",
     "ContractColumn",
     "ContractError",
     "DuplicateKeyError",
     "Identity",
     "PolicyConflictError",
+    "RegistryStore",
     "RowFilter",
     "TableName",
     "cross_rates",

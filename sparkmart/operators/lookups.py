@@ -47,7 +47,7 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType)
 
 
-def _row_bytes(df: DataFrame) -> Column:
+def row_bytes(df: DataFrame) -> Column:
     """A row's size in memory, rounded up."""
     sizes = [str(_ROW_OVERHEAD + _FIXED_WIDTH * len(df.schema.fields))]
     for field in df.schema.fields:
@@ -63,11 +63,11 @@ def _row_bytes(df: DataFrame) -> Column:
 def _measure(df: DataFrame, key_names: Sequence[str], unique: bool) -> int:
     """Bytes of all rows, by one aggregate over them that may check the keys too."""
     if not unique:
-        return df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+        return df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
     named = F.struct(*key_names)
     complete = F.concat(*[F.col(name).cast("string") for name in key_names]).isNotNull()
     per_key = df.groupBy(*key_names).agg(
-        F.sum(_row_bytes(df)).alias("bytes"), F.count("*").alias("rows")
+        F.sum(row_bytes(df)).alias("bytes"), F.count("*").alias("rows")
     )
     measured = per_key.agg(
         F.sum("bytes").alias("bytes"),

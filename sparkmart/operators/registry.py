@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.operators.lookups import DuplicateKeyError, lookup, measured_bytes
+from sparkmart.operators.lookups import DuplicateKeyError, lookup, measured_bytes, row_bytes
 from sparkmart.sources.documents import FLAGS
+from sparkmart.sources.tables import write_parquet
+from sparkmart.workspace import fresh_folder
 
 # Patterns and length bounds of a record's fields.
 NAME_PATTERN = r"^[a-z0-9_]+\z"
@@ -70,6 +72,27 @@ def new_records(df: DataFrame, flags: Sequence[str] = FLAGS) -> DataFrame:
     )
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """120 bits of a row's sha256 as a whole number, which a hash aggregate can keep the least of.
+
+    Text tells -0.0 from 0.0 and has an order for maps too.
+    """
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    hexes = F.sha2(text, 256)
+    high, low = [
+        F.conv(F.substring(hexes, start, 15), 16, 10).cast("decimal(19,0)") for start in (1, 16)
+    ]
+    return (high * F.lit(1 << 60).cast("decimal(19,0)") + low).cast("decimal(38,0)")
+
+
+def _one_of_equals(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One row per key, where all rows of a key are equal: their commonest value, which hash
+    aggregates find for rows with any columns and without changing them."""
+    return rows.groupBy(F.col(key).alias("_equals")).agg(F.mode(F.struct(*columns)).alias("_row")).select(
+        *[F.col(f"_row.`{name}`").alias(name) for name in columns]
+    )
+
+
 def _repeated(counted: DataFrame, columns: Sequence[str], copies_per_task: int) -> DataFrame:
     """Each row as often as its ``_copies`` says.
 
@@ -109,8 +132,8 @@ def insert_absent(
 
     The first arrival per key is a minimum, so a hot key shrinks to one row per task before the
     shuffle. It is brought back to the batch by ``lookup``, and only rows that arrive with their
-    key's first are compared as a whole, as counted copies. The first arrivals are measured
-    when this is called.
+    key's first are compared as a whole, by counted digests. Whole rows are not aggregated, but for
+    copies of an accepted row. The first arrivals are measured when this is called.
     """
     columns = list(new.columns)
     unknown = base.select(key).where(F.col(key).isNotNull())
@@ -132,40 +155,31 @@ def insert_absent(
     )
     size = measured_bytes(firsts)
     taken = {name: name for name in ("_first", "_no_place", "_open")}
-    # Text tells -0.0 from 0.0 and has an order for maps too; it is only made of rows
-    # that arrive with their key's first.
-    digest = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    # The digest is only made of rows that arrive with their key's first.
     early = (
         lookup(new, firsts, {key: key}, taken, dimension_bytes=size)
         .where(F.col("_open") & same)
-        .select(*columns, digest.alias("_digest"), "_first", "_no_place")
-    )
-    contents = early.groupBy(key, "_digest").agg(
-        F.first(F.struct(*columns, "_first", "_no_place")).alias("_row"),
-        F.count("*").alias("_copies"),
-    )
-    # One aggregate gives the accepted rows, their further copies and what the rest is
-    # compared with; Spark computes it once.
-    best = contents.groupBy(key).agg(
-        F.min_by(F.struct("_row", "_copies", "_digest"), "_digest").alias("_best")
-    )
-    whole = [F.col(f"_best._row.{name}").alias(name) for name in columns]
-    further = best.select(
-        *whole, (F.col("_best._copies") - 1).alias("_copies"), F.col("_best._digest").alias("_digest")
+        .select(key, "_first", "_no_place", _digest(columns).alias("_digest"))
     )
-    chosen = best.select(
-        key,
-        F.col("_best._row._first").alias("_first"),
-        F.col("_best._row._no_place").alias("_no_place"),
-        F.col("_best._digest").alias("_chosen"),
+    copies = early.groupBy(key, "_first", "_no_place", "_digest").agg(F.count("*").alias("_copies"))
+    # Numbers only, so all of it is hash aggregates; the row itself comes back by the lookup.
+    chosen = copies.groupBy(key, "_first", "_no_place").agg(
+        F.min("_digest").alias("_chosen"), F.min_by("_copies", "_digest").alias("_copies")
     )
-    taken = {name: name for name in ("_first", "_no_place", "_chosen")}
+    taken = {name: name for name in ("_first", "_no_place", "_chosen", "_copies")}
     # It has no more rows than the first arrivals, whose rows count as 128 bytes or more
-    # each; a digest adds less than that.
+    # each; two numbers add less than that.
     marked = lookup(new, chosen, {key: key}, taken, dimension_bytes=2 * size)
-    is_chosen = F.col("_chosen").isNotNull() & same & (digest == F.col("_chosen"))
-    refused = marked.where(~F.coalesce(is_chosen, F.lit(False))).select(*columns)
-    return best.select(*whole), refused.unionByName(_repeated(further, columns, copies_per_task))
+    is_chosen = F.col("_chosen").isNotNull() & same & (_digest(columns) == F.col("_chosen"))
+    # One condition on both sides of the join, so that all branches read one broadcast.
+    marked = marked.withColumn("_equal", F.coalesce(is_chosen, F.lit(False)))
+    best = _one_of_equals(marked.where("_equal"), key, [*columns, "_copies", "_chosen"])
+    refused = marked.where("not _equal").select(*columns)
+    further = best.withColumn("_copies", F.col("_copies") - 1).withColumnRenamed("_chosen", "_digest")
+    return (
+        best.select(*columns),
+        refused.unionByName(_repeated(further, columns, copies_per_task)),
+    )
 
 
 def update_columns(
@@ -193,19 +207,23 @@ def update_columns(
         doubled = updates.groupBy(key).count().where(f"`{key}` is not null and count > 1").first()
         if doubled:
             raise DuplicateKeyError(f"several updates without an order for key {doubled[0]!r}")
-    places = [F.col(c).alias(f"_place_{i}") for i, c in enumerate(order)]
     if named is None:
         groups = {"_new": columns}
+        last, size = _last_updates(updates, key, columns, order)
     else:
+        size = None
         groups = {f"_new_{i}": [c] for i, c in enumerate(columns)}
-
-    def last_of(group: Sequence[str]) -> Column:
-        update = F.struct(*places, *group)
-        return F.max(update if named is None else F.when(F.array_contains(named, group[0]), update))
-
-    last = updates.groupBy(key).agg(*[last_of(group).alias(g) for g, group in groups.items()])
+        places = [F.col(c).alias(f"_place_{i}") for i, c in enumerate(order)]
+        last = updates.groupBy(key).agg(
+            *[
+                F.max(F.when(F.array_contains(named, c), F.struct(*places, c))).alias(group)
+                for group, (c,) in groups.items()
+            ]
+        )
     # The base holds each key once, so no key of it need be spread.
-    matched = lookup(base, last, {key: key}, {g: g for g in groups}, rows_per_task=None)
+    matched = lookup(
+        base, last, {key: key}, {g: g for g in groups}, rows_per_task=None, dimension_bytes=size
+    )
     group_of = {c: g for g, group in groups.items() for c in group}
     updated = matched.select(
         *[
@@ -222,6 +240,55 @@ def update_columns(
     return updated, unknown
 
 
+def _last_updates(
+    updates: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]
+) -> tuple[DataFrame, int | None]:
+    """(key, _new), the ``columns`` of each key's last update as a struct, and their bytes if known.
+
+    Of several in the last place the one with the greatest digest counts. The place, the digest
+    and the size of the last update are numbers, kept by hash aggregates and measured in one pass;
+    the row itself comes back by a lookup. A place that is NULL comes first.
+    """
+    new = F.struct(*columns).alias("_new")
+    found = updates.where(F.col(key).isNotNull())
+    if not order:
+        return found.select(key, new), None
+    for place in order[:-1]:
+        # One column of the order after the other.
+        last = found.groupBy(key).agg(F.max(place).alias("_last"))
+        found = lookup(found, last, {key: key}, {"_last": "_last"}).where(
+            F.col(place).eqNullSafe(F.col("_last"))
+        ).drop("_last")
+    place = F.col(order[-1]).alias("_place")
+    carried = [c for c in columns if c != key]
+    found = found.select(key, place, *carried, _digest(columns).alias("_digest"))
+    places = found.groupBy(key, "_place").agg(
+        F.max("_digest").alias("_digest"),
+        F.count("*").alias("_ties"),
+        F.max(row_bytes(found)).alias("_bytes"),
+    )
+
+    def at_last(name: str) -> Column:
+        return F.coalesce(F.max_by(name, "_place"), F.max(name)).alias(f"_last{name}")
+
+    # Read twice below, and by each reader of the result.
+    last = write_parquet(
+        places.groupBy(key).agg(
+            F.max("_place").alias("_last_place"), *map(at_last, ("_digest", "_ties", "_bytes"))
+        ),
+        fresh_folder(updates.sparkSession, "last_updates"),
+    )
+    measured = last.agg(F.sum("_last_bytes").alias("bytes"), F.max("_last_ties").alias("ties")).first()
+    size = measured["bytes"] or 0
+    taken = {name: name for name in ("_last_place", "_last_digest")}
+    marked = lookup(found, last, {key: key}, taken, dimension_bytes=size).where(
+        F.col("_place").eqNullSafe(F.col("_last_place")) & (F.col("_digest") == F.col("_last_digest"))
+    )
+    if (measured["ties"] or 0) > 1:
+        marked = _one_of_equals(marked, key, [key, *carried])
+    return marked.select(key, new), size
+
+
 def list_keys(base: DataFrame, key: str = "name") -> DataFrame:
     """The keys of all records."""
     return base.select(key)

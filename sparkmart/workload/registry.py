@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.operators import (
+    RegistryStore,
     insert_absent,
     list_keys,
     new_records,
@@ -105,6 +106,27 @@ def registry_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder, T.StructType.fromDDL(SCHEMAS["customer"]))
 
 
+def registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored registry of suppliers. Sign-ups and purchases insert accounts that are absent, and
+    the last of the other events overwrites two columns; then all is read back."""
+    folder = fresh_folder(spark, "registry_merge")
+    schema = T.StructType.fromDDL(SCHEMAS["supplier"])
+    store = RegistryStore.create(spark, folder, schema, "s_suppkey", buckets=16)
+    store.merge(inserts=load(spark, sf_dir, "supplier"), arrival=["s_suppkey"])
+    is_insert = F.col("event_type").isin("signup", "purchase")
+    events = load(spark, sf_dir, "events").withColumnsRenamed(
+        {"user_id": "s_suppkey", "value": "s_acctbal"}
+    )
+    store.merge(
+        inserts=events.where(is_insert).withColumn("s_name", F.col("event_type")),
+        arrival=["event_id"],
+        updates=events.where(~is_insert).withColumn("s_name", F.expr("nullif(event_type, 'error')")),
+        columns=["s_name", "s_acctbal"],
+        order=["event_id"],
+    )
+    return store.read()
+
+
 QUERIES = {
     "registry_validate": registry_validate,
     "registry_valid": registry_valid,
@@ -113,6 +135,7 @@ QUERIES = {
     "registry_update_unknown": registry_update_unknown,
     "registry_list": registry_list,
     "registry_document": registry_document,
+    "registry_merge": registry_merge,
 }
 
 _CHECKED = r"""
@@ -176,5 +199,22 @@ ORACLES = {
         from events where user_id not in (select s_suppkey from supplier)
     """,
     "registry_list": "select c_name from customer",
+    "registry_merge": """
+        with inserted as (
+            select * from supplier
+            union all
+            select user_id, event_type, null, value
+            from events where event_type in ('signup', 'purchase')
+                and user_id not in (select s_suppkey from supplier)
+            qualify row_number() over (partition by user_id order by event_id) = 1
+        ), last as (
+            select * from events where event_type not in ('signup', 'purchase')
+            qualify row_number() over (partition by user_id order by event_id desc) = 1
+        )
+        select s_suppkey, case when user_id is null then s_name else nullif(event_type, 'error') end
+                as s_name, s_nationkey,
+            case when user_id is null then s_acctbal else value end as s_acctbal
+        from inserted left join last on s_suppkey = user_id
+    """,
     "registry_document": "select * from customer",
 }
