@@ -25,15 +25,16 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import map_arrow, stored
+from sparkmart.llm.common import arrow_rows, map_arrow, stored
 from sparkmart.workspace import fresh_folder
 
 #: Pages carry no time of capture: page n counts as captured n seconds after this.
 FIRST_CAPTURE = 1_600_000_000
 RECORDS_PER_FILE = 2_000
+RECORDS_PER_BATCH = 500
 RECORD_END = "\r\n\r\n"
 
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
@@ -180,25 +181,34 @@ def write_archives(pages: DataFrame, folder: str) -> None:
         F.col("page_id").eqNullSafe(F.col("own_id")) & (F.col("digest") == F.col("own_digest")),
         "left",
     )
-    run_order = map_arrow(
-        typed.select("page_id", "url", "payload", "first"),
-        _keyed,
-        "url_key string, page_id bigint, url string, payload binary, first bigint",
-    ).sortWithinPartitions("url_key", "page_id")
     lines = map_arrow(
-        run_order.select("page_id", "url", "payload", "first"), _write_records, "value string"
+        typed.withColumn("url_key", url_key_of(F.col("url")))
+        .sortWithinPartitions("url_key", "page_id")
+        .select("page_id", "url", "payload", "first"),
+        _write_records,
+        "value string",
     )
-    lines.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_FILE).option(
-        "compression", "gzip"
-    ).text(folder)
-
-
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [url_key(url) for url in batch.column("url").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), *batch.columns], ["url_key", *batch.schema.names]
-        )
+    with arrow_rows(pages.sparkSession, RECORDS_PER_BATCH):
+        lines.write.option("lineSep", RECORD_END).option(
+            "maxRecordsPerFile", RECORDS_PER_FILE
+        ).option("compression", "gzip").text(folder)
+
+
+def url_key_of(url: Column) -> Column:
+    """``url_key`` of the URL as a record has it, its spaces and controls as %XX."""
+    odd = r"[\x00-\x20\x7f]"
+    letters = F.transform(
+        F.split(url, ""),
+        lambda letter: F.when(
+            letter.rlike(odd), F.concat(F.lit("%"), F.lpad(F.hex(letter), 2, "0"))
+        ).otherwise(letter),
+    )
+    safe = F.when(url.rlike(odd), F.array_join(letters, "")).otherwise(url)
+    host, rest = [F.regexp_extract(safe, f"^{_PARTS.pattern}", part) for part in (1, 2)]
+    labels = F.split(F.regexp_replace(F.lower(host), "^www[.]", ""), "[.]")
+    path = F.when(rest == "", "/").otherwise(rest)
+    key = F.concat(F.array_join(F.reverse(labels), ","), F.lit(")"), path)
+    return F.coalesce(F.when(safe.rlike(f"^{_PARTS.pattern}"), key).otherwise(safe), F.lit(""))
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
