@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,6 +220,34 @@ def adhoc_sql_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def model_atomic_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status, built; then built anew over finished orders only, which fails in the last
+    model; what is published is the first build, table and view."""
+
+    def product(rows: DataFrame, last: str) -> Product:
+        product = Product(spark, "sparkmart_atomic")
+        product.seed("orders", rows)
+        product.model("counted", materialized="table", sql="""
+            select o_orderstatus, count(*) as orders from {orders} group by o_orderstatus""")
+        product.model("ranked", sql="select *, orders > 100 as many from {counted}")
+        product.model("last", materialized="table", sql=last)
+        return product
+
+    orders = load(spark, sf_dir, "orders")
+    total = "select sum(orders) as total from {ranked}"
+    built = product(orders, total)
+    built.build()
+    try:
+        broken = product(orders.where("o_orderstatus = 'F'"), f"{total} having raise_error('no') = 1")
+        broken.build()
+    except SparkRuntimeException:
+        pass
+    else:
+        raise AssertionError("the second build must fail")
+    total = built.ref("last").select(F.lit("all").alias("o_orderstatus"), F.col("total").alias("orders"))
+    return built.ref("ranked").unionByName(total, allowMissingColumns=True)
+
+
 def model_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A model built as a view, then as a table, then as a view again."""
     for kind in ("view", "table", "view"):
@@ -241,6 +270,7 @@ QUERIES = {
     "model_table_contract": model_table_contract,
     "model_versions": model_versions,
     "model_output_ports": model_output_ports,
+    "model_atomic_build": model_atomic_build,
     "model_switch": model_switch,
     "adhoc_sql": adhoc_sql,
     "adhoc_sql_governed": adhoc_sql_governed,
@@ -252,6 +282,12 @@ _BY_NATION = """
 """
 
 ORACLES = {
+    "model_atomic_build": """
+        select o_orderstatus, count(*) as orders, count(*) > 100 as many
+        from orders group by o_orderstatus
+        union all
+        select 'all', count(*), null from orders
+    """,
     "model_switch": "select n_regionkey, count(*) as nations from nation group by 1",
     "model_chain_view": sales.MART,
     "sales_chain_sql": sales.MART,

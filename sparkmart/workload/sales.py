@@ -112,6 +112,27 @@ def lookup_skewed_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lookup_wide_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against the largest one of each key, shuffled; all long texts share a key that
+    has few rows and many of the bytes."""
+    keyed = load(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(F.col("n_chars") > 8000, "long").otherwise(F.col("source")).alias("shelf"),
+        "text",
+        "n_chars",
+    )
+    largest = keyed.groupBy("shelf").agg(F.max("n_chars").alias("largest"))
+    joined = lookup(
+        keyed.withColumn("text_key", F.md5("text")),
+        largest,
+        {"shelf": "shelf"},
+        {"largest": "largest"},
+        broadcast_bytes=0,
+        task_bytes=1 << 18,
+    )
+    return joined.select("doc_id", "shelf", "text", "text_key", "largest")
+
+
 def fct_sales_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return converted_sales(spark, sf_dir)
 
@@ -157,6 +178,7 @@ QUERIES = {
     "stg_sales": stg_sales,
     "stg_sales_large_dimension": stg_sales_large_dimension,
     "lookup_skewed_large": lookup_skewed_large,
+    "lookup_wide_skew": lookup_wide_skew,
     "fct_sales_converted": fct_sales_converted,
     "mart_monthly_sales": mart_monthly_sales,
     "fx_missing_rate_default": fx_missing_rate_default,
@@ -227,6 +249,14 @@ ORACLES = {
         left join orders on order_key = o_orderkey
         group by 1, 2, 3
     """,
+    "lookup_wide_skew": """
+        with keyed as (
+            select *, case when n_chars > 8000 then 'long' else source end as shelf from documents
+        )
+        select doc_id, shelf, text, md5(text) as text_key,
+               max(n_chars) over (partition by shelf) as largest
+        from keyed
+    """,
     "fct_sales_converted": f"with {_CONVERTED} select * from converted",
     "mart_monthly_sales": MART,
     "fx_missing_rate_default": f"""

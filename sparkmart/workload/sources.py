@@ -161,6 +161,25 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh(second, table)
 
 
+def refresh_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table refreshed from its own content to another layout, and then to a third one."""
+    zone(spark, "sparkmart_layout")
+    table = "sparkmart_layout.orders"
+    first = refresh(load(spark, sf_dir, "orders"), table)
+    second = refresh(
+        first.select(
+            F.col("o_orderkey").cast("string").alias("order_key"),
+            F.year("o_orderdate").alias("order_year"),
+            "o_orderstatus",
+        ),
+        table,
+    )
+    third = second.groupBy("order_year", "o_orderstatus").agg(
+        F.count("order_key").alias("orders"), F.max("order_key").alias("last_key")
+    )
+    return refresh(third, table)
+
+
 QUERIES = {
     "source_count": source_count,
     "seed_roundtrip": seed_roundtrip,
@@ -172,6 +191,7 @@ QUERIES = {
     "raw_quarantine": raw_quarantine,
     "raw_valid": raw_valid,
     "full_refresh": full_refresh,
+    "refresh_layout": refresh_layout,
 }
 
 _TYPED_CUSTOMER = """
@@ -181,6 +201,11 @@ _TYPED_CUSTOMER = """
 """
 
 ORACLES = {
+    "refresh_layout": """
+        select cast(year(o_orderdate) as integer) as order_year, o_orderstatus, count(*) as orders,
+               max(cast(o_orderkey as varchar)) as last_key
+        from orders group by 1, 2
+    """,
     "seed_quoted_text": "select doc_id, text, lang, source, n_chars from documents",
     "source_count": "select count(*) as raw_count from customer",
     "seed_roundtrip": "select * from supplier",

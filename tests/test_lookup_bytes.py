@@ -1,0 +1,92 @@
+"""Heavy keys by bytes, and rows of every type through both ways of a lookup."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkmart.operators import lookup, lookups
+
+TYPES = {
+    "tiny": "cast(id as tinyint)",
+    "double": "if(id = 1, double('NaN'), -0.0D)",
+    "dec": "cast(id as decimal(38, 4))",
+    "flag": "id = 1",
+    "text": "cast(id as string)",
+    "collated": "'Ab' collate utf8_lcase",
+    "chars": "cast('ab' as char(4))",
+    "bytes": "cast('ab' as binary)",
+    "day": "date'2024-01-01'",
+    "at": "timestamp'2024-01-01 00:00:00'",
+    "at_ntz": "timestamp_ntz'2024-01-01 00:00:00'",
+    "months": "interval '1' month",
+    "days": "interval '1' day",
+    "mixed": "make_interval(1, 2, 3, 4, 5, 6, 7)",
+    "listed": "array(id, null)",
+    "nested": "named_struct('a', id, 'b', array('x'))",
+    "mapped": "map('a', id)",
+    "maps": "array(map(1, id))",
+    "deep": "named_struct('a', map(id, array(1)))",
+    "variant": "parse_json('{\"a\": [1, 2.5, null]}')",
+    "variants": "array(parse_json('1'), parse_json('\"x\"'))",
+    "inner": "named_struct('v', parse_json('true'))",
+    "nothing": "null",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(TYPES))
+def test_every_type_goes_both_ways(spark, kind):
+    try:
+        fact = spark.range(60).selectExpr("id % 3 as k", f"{TYPES[kind]} as `some value`", "id")
+    except Exception as missing:
+        pytest.skip(str(missing).split("\n")[0])
+    dimension = spark.createDataFrame([(1, "one"), (1, "uno"), (2, "two")], "k long, name string")
+    counts = []
+    for options in ({}, {"broadcast_bytes": 0, "rows_per_task": 7}):
+        joined = lookup(fact, dimension, {"k": "k"}, {"name": "name"}, **options)
+        assert joined.dtypes[:3] == fact.dtypes
+        counts.append(Counter((r["id"], r["k"], r["name"]) for r in joined.select("id", "k", "name").collect()))
+        assert joined.select("some value").where("`some value` is not null").count() in (0, 80)
+    assert counts[0] == counts[1] and sum(counts[0].values()) == 80
+
+
+def wide_fact(spark):
+    """Many narrow rows on one key, few wide ones on another."""
+    return spark.range(3000).select(
+        F.when(F.col("id") % 500 == 0, "wide").when(F.col("id") % 2 == 0, "narrow").otherwise(
+            F.concat(F.lit("k"), F.col("id"))
+        ).alias("code"),
+        F.when(F.col("id") % 500 == 0, F.repeat(F.lit("x"), 100_000)).otherwise("y").alias("payload"),
+        "id",
+    )
+
+
+def test_a_key_with_few_wide_rows_is_heavy(spark):
+    fact = wide_fact(spark)
+    slots = {r["_key_hash"]: r["_slots"] for r in lookups._hot_keys(fact, ["code"], 10**9, 200_000).collect()}
+    named = {r[0]: r[1] for r in fact.select("code", F.xxhash64("code")).distinct().collect()}
+    assert set(slots) == {named["wide"]} and slots[named["wide"]] == 4
+    by_rows = lookups._hot_keys(fact, ["code"], 1000, 10**12).collect()
+    assert [r["_key_hash"] for r in by_rows] == [named["narrow"]]
+
+
+@pytest.mark.parametrize("cells", [1, 2, 64, lookups.CELLS])
+def test_the_sketch_finds_the_same_keys_with_any_cells(spark, cells):
+    found = lookups._hot_keys(wide_fact(spark), ["code"], 1000, 200_000, cells).collect()
+    assert len(found) == 2
+
+
+def test_wide_rows_are_spread_and_joined(spark):
+    fact = wide_fact(spark)
+    dimension = spark.createDataFrame([("wide", 1), ("wide", 2), ("k7", 3)], "code string, n int")
+    small = lookup(fact, dimension, {"code": "code"}, {"n": "n"})
+    large = lookup(
+        fact, dimension, {"code": "code"}, {"n": "n"}, broadcast_bytes=0, task_bytes=200_000
+    )
+    assert "_slot" not in large.columns
+    assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+
+
+def test_no_heavy_key_needs_one_pass(spark):
+    fact = spark.range(100).selectExpr("id as code")
+    assert lookups._hot_keys(fact, ["code"], 50).count() == 0
