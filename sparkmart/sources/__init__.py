@@ -8,7 +8,7 @@ from sparkmart.sources.documents import (
     write_documents,
 )
 from sparkmart.sources.ingest import sync_streams
-from sparkmart.sources.raw import land_raw, parse_raw, read_raw
+from sparkmart.sources.raw import land_raw, parse_raw, read_raw, with_record
 from sparkmart.sources.schemas import struct_from_json_schema
 from sparkmart.sources.tables import SourceTable, full_refresh, write_parquet
 
@@ -26,6 +26,7 @@ __all__ = [
     "struct_from_json_schema",
     "sync_streams",
     "to_documents",
+    "with_record",
     "write_documents",
     "write_parquet",
 ]

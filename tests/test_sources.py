@@ -129,7 +129,7 @@ def test_quarantine_keeps_what_does_not_fit(spark):
 def test_record_is_parsed_once(spark, plan_of):
     raw = spark.range(3).selectExpr("cast(id as string) as payload")
     typed, _ = read_raw(raw, struct_from_json_schema(PEOPLE["stream"]["json_schema"]))
-    assert plan_of(typed, "simple").count("from_json") == 1
+    assert plan_of(typed, "simple").count("parseJson") == 1
 
 
 RECORDS = [
