@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with the first number behind it that no column of ``df`` has."""
+    taken = {column.lower() for column in df.columns}
+    names = [name, *(f"{name}_{number}" for number in range(1, len(taken) + 1))]
+    return next(free for free in names if free.lower() not in taken)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written below the shared folder and read back: a cut in the lineage that
     outlives any executor."""

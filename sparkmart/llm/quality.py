@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import id_remainder, labelled_sample, map_arrow, stored
+from sparkmart.llm.common import free_name, id_remainder, labelled_sample, map_arrow, stored
 
 MAX_ROWS = 50_000
 FEATURES = 256
@@ -238,20 +238,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) ->
     return model
 
 
-def _scored(model: QualityModel):
+def _scored(model: QualityModel, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = model.score(batch.column("text").to_pylist())
-            yield batch.append_column("score", pa.array(scores, pa.float64()))
+            yield batch.append_column(name, pa.array(scores, pa.float64()))
 
     return run
 
 
 def with_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """All rows and columns of ``docs`` and ``score`` (0 to 1) of the whole text; a null text
-    scores as the empty one. ``docs`` must not have a column ``score`` itself."""
-    schema = docs.select("*", F.lit(0.0).alias("score")).schema
-    return map_arrow(docs, _scored(model), schema)
+    scores as the empty one. Where ``docs`` has a column ``score`` itself, which stays, the new one
+    is ``score_1`` or the next name that is free. Repeated rows score alike; no rows give none."""
+    name = free_name(docs, "score")
+    schema = docs.select("*", F.lit(0.0).alias(name)).schema
+    return map_arrow(docs, _scored(model, name), schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from hashlib import md5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.llm.common import free_name
 from sparkmart.workspace import fresh_folder
 
 SHARDS = tuple(f"shard-{number:02d}" for number in range(32))
@@ -66,14 +67,24 @@ def place(
 ) -> DataFrame:
     """All rows and columns of ``df`` with ``shard_slot`` and ``shard``.
 
-    Equal keys share a shard, whatever their number; ``df`` is not shuffled. The table has
-    ``slots`` rows (a parameter of at most a million), which bounds its broadcast. ``df`` must not have
-    columns of the two new names.
+    Equal keys share a shard, whatever their number; a null key counts as the empty text; repeated
+    rows stay; no rows give none. ``df`` is not shuffled. The table has ``slots`` rows (a parameter of at
+    most a million), which bounds its broadcast. Where ``df`` has columns of the two names, they
+    stay, and the new ones are ``shard_1`` and ``shard_slot_1`` or the next names that are free.
     """
-    found = lookup_table(df.sparkSession, shards, slots).withColumnRenamed("slot", "shard_slot")
-    return df.withColumn("shard_slot", slot_of(F.col(key), slots)).join(
-        F.broadcast(found), "shard_slot"
-    ).select(*(df[name] for name in df.columns), "shard_slot", "shard")
+    slot, shard = _names(df)
+    found = lookup_table(df.sparkSession, shards, slots).withColumnsRenamed(
+        {"slot": slot, "shard": shard}
+    )
+    return (
+        df.withColumn(slot, slot_of(F.col(key), slots))
+        .join(F.broadcast(found), slot)
+        .select(*df.columns, slot, shard)
+    )
+
+
+def _names(df: DataFrame) -> tuple[str, str]:
+    return free_name(df, "shard_slot"), free_name(df, "shard")
 
 
 def write_shards(
@@ -82,9 +93,10 @@ def write_shards(
     """The rows of ``place``, all columns, written to a folder per shard and read back.
 
     Each task writes its own rows of a shard to a file, so ``df`` is not shuffled and equal keys
-    do not meet in one task. Shard names must not be empty.
+    do not meet in one task. Null, empty and very long texts are rows like others, and so are those
+    of a null key. Shard names must not be empty.
     """
     placed = place(df, key, shards, slots)
     path = fresh_folder(df.sparkSession, "llm/shards")
-    placed.write.partitionBy("shard").parquet(path)
+    placed.write.partitionBy(_names(df)[1]).parquet(path)
     return df.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)
