@@ -13,17 +13,26 @@ from pyspark.sql import SparkSession
 _local_folders: dict[str, str] = {}
 
 
+def _temporary_folders() -> set[str]:
+    return {"/tmp", "/var/tmp", tempfile.gettempdir().rstrip("/")}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
     Only a local session without that setting (unit tests) gets a folder of its
     own; a cluster session without it is refused, since a machine-local folder
-    would vanish with the machine that holds it.
+    would vanish with the machine that holds it. A plain path is taken to be a mount that all
+    machines share, which cannot be told from the path; one below a machine's temporary folder
+    is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     local = context.master.startswith("local")
-    if configured and ("://" in configured or configured.startswith("/")):
+    if configured and ("://" in configured or configured.startswith(("/", "file:/"))):
+        path = "/" + configured.removeprefix("file:").lstrip("/")
+        if not local and any(path.startswith(f"{folder}/") for folder in _temporary_folders()):
+            raise ValueError(f"spark.checkpoint.dir is a machine's temporary folder: {configured}")
         return configured.rstrip("/")
     if configured and local:
         return os.path.abspath(configured)

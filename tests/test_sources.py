@@ -219,6 +219,13 @@ def test_shared_folder_is_the_configured_one():
     assert shared_folder(session("local[2]", "x")) == os.path.abspath("x")
 
 
+@pytest.mark.parametrize("folder", ["/tmp/x", "file:///tmp/x", "/var/tmp/x/", "file:/tmp/x"])
+def test_temporary_folders_are_refused_on_a_cluster(folder):
+    assert shared_folder(session("local-cluster[2,1,1024]", folder))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077", folder))
+
+
 def test_local_session_gets_one_folder():
     alone = session("local[2]")
     assert os.path.isdir(shared_folder(alone))
