@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from sparkmart.operators.contract import Contract, enforce
 from sparkmart.operators.policy import ColumnMask, Identity, RowFilter, TableName, secure
 from sparkmart.plans.governed import governed_query
+from sparkmart.plans.inherited import CannotCarry, carry
+from sparkmart.plans.lineage import Lineage, lineage
 from sparkmart.sources.delimited import read_seed
 from sparkmart.sources.tables import (
     SourceTable,
@@ -49,6 +51,10 @@ def relation_name(name: str, alias: str | None = None, version: Version = None)
     return f"{base}_v{str(version).replace('.', '_')}"
 
 
+def _lineage_name(table: TableName) -> str:
+    return f"{table.catalog}.{table.schema}.{table.table}".lower()
+
+
 def _names_in(text: str) -> set[str]:
     """The names that SQL text has in braces; doubled braces stand for themselves."""
     names = {name for _, name, _, _ in string.Formatter().parse(text) if name is not None}
@@ -105,6 +111,21 @@ class ModelContext:
         return self.product.source(name)
 
 
+@dataclass
+class GovernedContext(ModelContext):
+    """What a model function sees when it is planned for one reader."""
+
+    identity: Identity | None = None
+
+    def ref(self, name: str, version: Version = None) -> DataFrame:
+        if (name, _text(version)) not in self.model.refs:
+            raise KeyError(f"model {self.model.name!r} does not declare a reference to {name!r}")
+        return self.product.read(name, self.identity, version)
+
+    def source(self, name: str) -> DataFrame:
+        return self.product.read_source(name, self.identity)
+
+
 @dataclass
 class Product:
     """Models under ``catalog.schema``; the same models fit any namespace.
@@ -118,6 +139,9 @@ class Product:
     catalog: str = SESSION_CATALOG
     root: str | None = None
     policies: list[RowFilter | ColumnMask] = field(default_factory=list)
+    #: Whether policies on seeds, sources and models reach the models above them. Else a model
+    #: is read with its owner's rights, and needs policies of its own.
+    follow: bool = False
 
     def __post_init__(self) -> None:
         if self.catalog != SESSION_CATALOG:
@@ -130,6 +154,7 @@ class Product:
         self._sources: dict[str, SourceTable] = {}
         self._built: dict[tuple[str, str | None], str] = {}
         self._building = False
+        self._lineage: dict[tuple[str, str | None], Lineage] = {}
 
     # Declarations
 
@@ -273,9 +298,80 @@ class Product:
                 frames[name] = self.read(name, identity)
         return governed_query(self.spark, text, frames)
 
+    def _table_name(self, key: tuple[str, str | None]) -> TableName:
+        return TableName(self.catalog, self.schema, self._relation_of(key))
+
     def _governed(self, key: tuple[str, str | None], identity: Identity | None) -> DataFrame:
-        table = TableName(self.catalog, self.schema, self._relation_of(key))
-        return secure(self.ref(*key), table, identity, self.policies)
+        rows = self.ref(*key)
+        if self.follow and key in self._models:
+            try:
+                rows = carry(rows, self._lineage_of(key), self._active(identity))
+            except CannotCarry:
+                rows = self._planned_for(key, identity)
+        return secure(rows, self._table_name(key), identity, self.policies)
+
+    def _active(self, identity: Identity | None) -> dict[str, list[RowFilter | ColumnMask]]:
+        """The policies that apply to ``identity``, by the relation's name in lineages."""
+        user = identity.user if identity else None
+        active: dict[str, list[RowFilter | ColumnMask]] = {}
+        for policy in self.policies:
+            if user is None or user not in policy.exempt:
+                active.setdefault(_lineage_name(policy.table), []).append(policy)
+        return active
+
+    def _planned_for(self, key: tuple[str, str | None], identity: Identity | None) -> DataFrame:
+        """The model's rows made anew from what ``identity`` may see of the relations it reads."""
+        model = self._models[key]
+        if isinstance(model.body, str):
+            by_relation = {self._relation_of(built): built for built in self._built}
+            frames = {
+                name: self._governed(by_relation[name], identity)
+                if name in by_relation
+                else self.read_source(name, identity)
+                if name in self._sources
+                else self.read(name, identity)
+                for name in _names_in(model.body)
+            }
+            rows = governed_query(self.spark, model.body, frames)
+        else:
+            rows = model.body(GovernedContext(self, model, identity))
+        return rows if model.contract is None else enforce(rows, model.contract)
+
+    def _lineage_of(self, key: tuple[str, str | None]) -> Lineage:
+        """A built model's lineage, from its own plan and those of the models it reads."""
+        if key not in self._lineage:
+            model = self._models[key]
+            graph = [self._key(*reference) for reference in model.refs]
+            if isinstance(model.body, str):
+                graph += self._text_references(model)
+                rows = self.spark.sql(model.body.format_map(self._placeholders()))
+            else:
+                rows = model.body(ModelContext(self, model))
+            above = {
+                _lineage_name(self._table_name(read)): self._lineage_of(read)
+                for read in graph
+                if read in self._models
+            }
+            self._lineage[key] = lineage(rows, self._relation_at, above)
+        return self._lineage[key]
+
+    def _relation_at(self, node) -> str | None:
+        """The name in lineages of the relation that a plan's node reads: a built one or a table."""
+        kind = node.nodeName()
+        if kind == "View":
+            found = node.desc().identifier()
+        elif kind.startswith(("Relation", "LogicalRelation", "HiveTableRelation")) and (
+            node.catalogTable().isDefined()
+        ):
+            found = node.catalogTable().get().identifier()
+        else:
+            return None
+        parts = [found.catalog(), found.database()]
+        catalog, schema = [part.get() if part.isDefined() else "" for part in parts]
+        session = {f"{self.catalog}__{self.schema}__{self._relation_of(key)}": key for key in self._built}
+        if not schema and found.table() in session:
+            return _lineage_name(self._table_name(session[found.table()]))
+        return _lineage_name(TableName(catalog or self.catalog, schema, found.table()))
 
     def _placeholders(self) -> dict[str, str]:
         """What SQL models may name in braces: sources, relations, latest versions."""
@@ -352,6 +448,7 @@ class Product:
         )
         self.recover()
         before, self._built = self._built, {}
+        self._lineage.clear()
         self._building = True
         found: dict[str, tuple[str, dict]] = {}
         try:

@@ -220,6 +220,32 @@ def adhoc_sql_governed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def policy_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies on two seeds as they reach a view over a table over them: two filters, a mask that
+    follows a renamed column, and columns made of masked ones, which are hidden."""
+    product = Product(spark, "sparkmart_lineage", follow=True)
+    product.seed("customers", load(spark, sf_dir, "customer"))
+    product.seed("orders", load(spark, sf_dir, "orders"))
+    product.model("sold", materialized="table", sql="""
+        select o_orderkey, o_orderstatus as status, o_totalprice, c_name as buyer,
+               c_mktsegment as segment, concat(c_mktsegment, '/', c_name) as label
+        from {orders} join {customers} on o_custkey = c_custkey""")
+    product.model("shown", sql="""
+        select o_orderkey as order_key, status, buyer, segment, label, o_totalprice * 2 as twice
+        from {sold} where status <> 'F'""")
+    product.build()
+    customers, orders = [
+        TableName(product.catalog, product.schema, name) for name in ("customers", "orders")
+    ]
+    product.policies += [
+        RowFilter(customers, "c_mktsegment <> 'BUILDING'"),
+        RowFilter(orders, "o_orderstatus <> 'P' or o_orderkey % 2 = 0"),
+        ColumnMask(customers, "c_name", tail_mask("c_name")),
+        ColumnMask(orders, "o_totalprice", "0"),
+    ]
+    return product.read("shown", Identity("analyst"))
+
+
 def model_atomic_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by status, built; then built anew over finished orders only, which fails in the last
     model; what is published is the first build, table and view."""
@@ -271,6 +297,7 @@ QUERIES = {
     "model_versions": model_versions,
     "model_output_ports": model_output_ports,
     "model_atomic_build": model_atomic_build,
+    "policy_lineage": policy_lineage,
     "model_switch": model_switch,
     "adhoc_sql": adhoc_sql,
     "adhoc_sql_governed": adhoc_sql_governed,
@@ -282,6 +309,14 @@ _BY_NATION = """
 """
 
 ORACLES = {
+    "policy_lineage": """
+        select o_orderkey as order_key, o_orderstatus as status, '****' || right(c_name, 3) as buyer,
+               c_mktsegment as segment, cast(null as varchar) as label,
+               cast(null as double) as twice
+        from orders join customer on o_custkey = c_custkey
+        where o_orderstatus <> 'F' and c_mktsegment <> 'BUILDING'
+            and (o_orderstatus <> 'P' or o_orderkey % 2 = 0)
+    """,
     "model_atomic_build": """
         select o_orderstatus, count(*) as orders, count(*) > 100 as many
         from orders group by o_orderstatus
