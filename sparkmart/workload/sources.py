@@ -10,6 +10,7 @@ from sparkmart.sources import (
     full_refresh as refresh,
     land_raw,
     parse_raw,
+    read_quoted,
     read_raw,
     read_seed,
     read_stream,
@@ -74,6 +75,18 @@ def seed_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_seed(spark, f"{folder}/documents.csv", schema, multiLine="true")
 
 
+def seed_quoted_newlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose texts gain line breaks, one of them within quotes, to a file and into a table;
+    the file is read by as many tasks as its size asks for."""
+    folder = fresh_folder(spark, "seed_quoted_newlines")
+    broken = F.replace("text", F.lit(". "), F.lit('.\n"\n" '))
+    documents = load(spark, sf_dir, "documents").withColumn("text", broken)
+    documents.write.options(header="true", quote='"', escape='"').csv(f"{folder}/documents.csv")
+    zone(spark, "sparkmart_quoted")
+    schema = T.StructType.fromDDL(SCHEMAS["documents"])
+    return refresh(read_quoted(spark, f"{folder}/documents.csv", schema), "sparkmart_quoted.documents")
+
+
 def delimited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A semicolon-separated file read as a stream with declared types."""
     folder = fresh_folder(spark, "delimited_stream")
@@ -185,6 +198,7 @@ QUERIES = {
     "seed_roundtrip": seed_roundtrip,
     "delimited_stream": delimited_stream,
     "seed_quoted_text": seed_quoted_text,
+    "seed_quoted_newlines": seed_quoted_newlines,
     "ingest_sync": ingest_sync,
     "json_schema_read": json_schema_read,
     "raw_land_readback": raw_land_readback,
@@ -206,6 +220,11 @@ ORACLES = {
                max(cast(o_orderkey as varchar)) as last_key
         from orders group by 1, 2
     """,
+    "seed_quoted_newlines": """
+        select doc_id, replace(text, '. ', '.' || chr(10) || '"' || chr(10) || '" ') as text,
+               lang, source, n_chars
+        from documents
+    """,
     "seed_quoted_text": "select doc_id, text, lang, source, n_chars from documents",
     "source_count": "select count(*) as raw_count from customer",
     "seed_roundtrip": "select * from supplier",
