@@ -8,6 +8,7 @@ from sparkmart.sources.documents import (
     write_documents,
 )
 from sparkmart.sources.ingest import sync_streams
+from sparkmart.sources.large_documents import read_large_document
 from sparkmart.sources.quoted import read_quoted
 from sparkmart.sources.raw import land_raw, parse_raw, read_raw, with_record
 from sparkmart.sources.schemas import struct_from_json_schema
@@ -21,6 +22,7 @@ __all__ = [
     "parse_raw",
     "read_delimited",
     "read_documents",
+    "read_large_document",
     "read_quoted",
     "read_raw",
     "read_seed",

@@ -15,7 +15,12 @@ from sparkmart.operators import (
     validate,
     with_reasons,
 )
-from sparkmart.sources import read_documents, write_documents
+from sparkmart.sources import (
+    read_documents,
+    read_large_document,
+    write_documents,
+    write_parquet,
+)
 from sparkmart.sources.documents import FLAGS
 from sparkmart.workload.tables import SCHEMAS, load
 from sparkmart.workspace import fresh_folder
@@ -106,6 +111,30 @@ def registry_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder, T.StructType.fromDDL(SCHEMAS["customer"]))
 
 
+def registry_large_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as one registry document, written by one task and read by as many tasks as its
+    size asks for; names and texts hold braces and quotes."""
+    folder = fresh_folder(spark, "registry_large_document")
+    records = load(spark, sf_dir, "documents").select(
+        F.concat_ws("_", "source", "doc_id").alias("name"),
+        "doc_id",
+        F.replace("text", F.lit(". "), F.lit('."}{" \\ ')).alias("text"),
+    )
+    entry = F.concat(
+        F.substring(F.to_json(F.array("name")), F.lit(2), F.length(F.to_json(F.array("name"))) - 2),
+        F.lit(": "),
+        F.to_json(F.struct("*")),
+    )
+    # The lines of one file: the opening with an empty entry, the entries, and the end.
+    listed = records.select(F.concat(F.lit(", "), entry).alias("value"))
+    opening = spark.range(1).select(F.lit('{"data_products": {"": null').alias("value"))
+    closing = spark.range(1).select(F.lit("}}").alias("value"))
+    opening.unionByName(listed).unionByName(closing).coalesce(1).write.text(f"{folder}/registry")
+    schema = T.StructType.fromDDL("name string, doc_id bigint, text string")
+    found = read_large_document(spark, f"{folder}/registry", schema).where("doc_id is not null")
+    return write_parquet(found, f"{folder}/read")
+
+
 def registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored registry of suppliers. Sign-ups and purchases insert accounts that are absent, and
     the last of the other events overwrites two columns; then all is read back."""
@@ -136,6 +165,7 @@ QUERIES = {
     "registry_list": registry_list,
     "registry_document": registry_document,
     "registry_merge": registry_merge,
+    "registry_large_document": registry_large_document,
 }
 
 _CHECKED = r"""
@@ -199,6 +229,11 @@ ORACLES = {
         from events where user_id not in (select s_suppkey from supplier)
     """,
     "registry_list": "select c_name from customer",
+    "registry_large_document": """
+        select source || '_' || doc_id as name, doc_id,
+               replace(text, '. ', '."}{" \\ ') as text
+        from documents
+    """,
     "registry_merge": """
         with inserted as (
             select * from supplier
