@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,9 +68,20 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package present on the executors."""
+    """``mapInArrow`` with the package present on the executors.
+
+    A worker process outlives its task, so memory that the task has freed is given back after it.
+    """
     ship_code(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 @contextmanager
