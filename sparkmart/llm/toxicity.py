@@ -3,10 +3,14 @@
 1. Every labelled text gives the set of its hashed n-grams of 3 to 6 characters (lower case, white space
    runs as one space). Spark counts, per bucket, the toxic and the other documents that have it.
 2. r = log ((p + a) / |p|) - log ((q + a) / |q|) is the bucket's log-count ratio (Wang and
-   Manning). Buckets whose ratio stands out from its standard error are features.
-3. Logistic regression on r for present features: each task takes gradient steps (Adam) over its own
-   rows, the driver averages a few vectors, and the next round goes on from the mean.
-4. Scoring looks up r times the weight for each n-gram of the whole text, once per bucket.
+   Manning), and every bucket that was seen is a feature of value r where a text has it.
+3. Logistic regression with an absolute penalty, which falls with the root of the number of rows, by
+   accelerated proximal steps: tasks sum the gradient over their rows, the driver moves one vector. A
+   bucket whose slope at the start is below the penalty would stay at zero there, so the steps
+   carry the others only; no bucket is left out for its rank or number.
+4. A second model without one fold runs along in the same steps. Its sums on that fold fit slope and
+   offset of a logistic calibration, which the model of all folds then takes over.
+5. Scoring looks up r times the weight for each n-gram of the whole text, once per bucket.
 
 The classifier is fitted on at most ``max_rows`` labelled documents; every document is scored.
 """
@@ -19,7 +23,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +31,19 @@ from sparkmart.llm.common import id_remainder, labelled_sample, map_arrow, store
 MAX_ROWS = 50_000
 SIZES = (3, 4, 5, 6)
 BUCKETS = 1 << 20
-MOST_FEATURES = 1 << 14
-STANDS_OUT = 3.5
 SMOOTHING = 1.0
-ROUNDS = 4
-STEPS = 15
+CALIBRATION_FOLD = 4
+# Over the root of the number of rows: the weight of the absolute penalty.
+PENALTY = 0.056
+STEPS = 30
+SETTLED = 1e-5
+# Passes that estimate the largest curvature, and the margin on what they find.
+CURVE_PASSES = 5
+CURVE_MARGIN = 1.2
 FIT_TASKS = 8
-RATE = 0.1
-PENALTY = 1e-4
+# The calibration's histogram of sums, from -SPAN to SPAN.
+BINS = 4096
+SPAN = 40.0
 TOXIC_FROM = 0.5
 # A longer text is hashed in slices that overlap by less than an n-gram.
 SLICE = 250_000
@@ -68,68 +76,133 @@ def present(text: str | None, wanted: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with each bucket in this task, weighted by label."""
+    """Documents with each bucket in this task, weighted by label: of all folds, and of those
+    that the calibration does not use."""
     here = np.zeros(BUCKETS, bool)
-    toxic, other = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    counts = np.zeros((4, BUCKETS))
     for batch in batches:
-        for text, y in zip(
-            batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True
-        ):
+        columns = [batch.column(name).to_pylist() for name in ("text", "y", "fold")]
+        for text, y, fold in zip(*columns, strict=True):
             for buckets in _ngram_buckets(text):
                 here[buckets] = True
             seen = np.flatnonzero(here)
             here[seen] = False
-            toxic[seen] += y
-            other[seen] += 1 - y
-    seen = np.flatnonzero(toxic + other)
+            counts[0, seen] += y
+            counts[1, seen] += 1 - y
+            if fold != CALIBRATION_FOLD:
+                counts[2, seen] += y
+                counts[3, seen] += 1 - y
+    seen = np.flatnonzero(counts[0] + counts[1])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(seen), pa.array(toxic[seen]), pa.array(other[seen])], ["bucket", "p", "q"]
+        [pa.array(seen), *(pa.array(row[seen]) for row in counts)], ["bucket", *_COUNTS]
     )
 
 
+_COUNTS = ["p", "q", "fitted_p", "fitted_q"]
+
+
 def _feature_rows(index: np.ndarray):
-    """Each labelled document as the numbers of its features."""
+    """Batches of labelled documents as the numbers of their features, packed in one row each."""
     wanted = index >= 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not len(batch):
+                continue
             found = [index[present(text, wanted)] for text in batch.column("text").to_pylist()]
-            lists = pa.array([one.astype(np.int32) for one in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([lists, batch.column("y")], ["f", "y"])
+            packed = (
+                np.concatenate(found).astype(np.int32),
+                np.array([len(one) for one in found], np.int32),
+                batch.column("y").to_numpy(zero_copy_only=False),
+                batch.column("fold").to_numpy(zero_copy_only=False) == CALIBRATION_FOLD,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part.tobytes()], pa.binary()) for part in packed], ["f", "sizes", "y", "held"]
+            )
 
     return run
 
 
-def _fit_part(ratios: np.ndarray, weights: np.ndarray, bias: float):
-    """Per task: the weights after STEPS steps over its rows (a part of the bounded sample)."""
+_PACKED = "f binary, sizes binary, y binary, held binary"
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    kinds = (np.int32, np.int32, np.float64, np.bool_)
+    for row in zip(*(column for column in batch.columns), strict=True):
+        yield tuple(np.frombuffer(part.as_buffer(), kind) for part, kind in zip(row, kinds, strict=True))
+
+
+def _pass(values: np.ndarray, states: np.ndarray, curve: bool):
+    """Per task: the sums over its rows of feature times miss, for both models. With ``curve``,
+    of feature times the row's own sum, which is one step of a power iteration."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch for batch in batches if len(batch)]
-        if not parts:
-            return
-        rows = pa.Table.from_batches(parts).combine_chunks()
-        y = rows.column("y").to_numpy()
-        sizes = pc.list_value_length(rows.column("f")).to_numpy()
-        features = pc.list_flatten(rows.column("f")).to_numpy()
-        owner = np.repeat(np.arange(len(y)), sizes)
-        state = np.append(weights, bias)
-        first, second = np.zeros(len(state)), np.zeros(len(state))
-        for step in range(1, STEPS + 1):
-            sums = np.bincount(owner, (ratios * state[:-1])[features], len(y)) + state[-1]
-            miss = _sigmoid(sums) - y
-            gradient = np.bincount(features, miss[owner], len(weights)) * ratios
-            whole = np.append(gradient / len(y) + PENALTY * state[:-1], miss.mean())
-            first = 0.9 * first + 0.1 * whole
-            second = 0.99 * second + 0.01 * whole**2
-            move = (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
-            state = state - RATE / np.sqrt(step) * move
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([state.tobytes()], pa.binary()), pa.array([len(y)])], ["state", "n"]
-        )
+        sums = np.zeros(states.shape)
+        scaled = values * states[:, :-1]
+        for batch in batches:
+            for f, sizes, y, held in _unpacked(batch):
+                owner = np.repeat(np.arange(len(y)), sizes)
+                for model in range(2):
+                    value = np.bincount(owner, scaled[model][f], len(y)) + states[model, -1]
+                    miss = value if curve else _sigmoid(value) - y
+                    if model:
+                        miss = np.where(held, 0.0, miss)
+                    sums[model, :-1] += np.bincount(f, miss[owner], values.shape[1])
+                    sums[model, -1] += miss.sum()
+        sums[:, :-1] *= values
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
 
     return run
 
 
+def _held_sums(values: np.ndarray, state: np.ndarray):
+    """Per task: rows and labels of the calibration fold by bins of their sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, BINS))
+        for batch in batches:
+            for f, sizes, y, held in _unpacked(batch):
+                owner = np.repeat(np.arange(len(y)), sizes)
+                value = np.bincount(owner, (values * state[:-1])[f], len(y)) + state[-1]
+                place = ((value[held] + SPAN) / (2 * SPAN) * BINS).clip(0, BINS - 1).astype(np.int64)
+                sums += np.bincount(place, minlength=BINS), np.bincount(place, y[held], BINS)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
+    return run
+
+
+def _summed(rows: DataFrame, function, shape: tuple[int, int]) -> np.ndarray:
+    total = np.zeros(shape)
+    for part in map_arrow(rows, function, "sums binary").collect():
+        total += np.frombuffer(part["sums"]).reshape(shape)
+    return total
+
+
+def log_ratios(p: np.ndarray, q: np.ndarray, toxic: float, other: float) -> np.ndarray:
+    """Log-count ratios by bucket from the counts of toxic and other texts; 0 if unseen."""
+    a = SMOOTHING
+    ratio = np.log((p + a) / (toxic + 2 * a)) - np.log((q + a) / (other + 2 * a))
+    return np.where(p + q > 0, ratio, 0.0)
+
+
+def calibration(sums: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve from sums to labels, drawn to 1 and 0 by a normal
+    prior of unit width, so few or separable rows keep it near them; the slope is positive."""
+    slope, offset = 1.0, 0.0
+    for _ in range(100):
+        chance = _sigmoid(slope * sums + offset)
+        miss, spread = rows * chance - labels, rows * chance * (1 - chance)
+        gradient = np.array([miss @ sums + slope - 1, miss.sum() + offset])
+        cross = spread @ sums
+        bend = np.array([[spread @ sums**2 + 1, cross], [cross, spread.sum() + 1]])
+        move = np.linalg.solve(bend, gradient)
+        move /= max(1.0, np.abs(move).max())
+        slope, offset = slope - move[0], offset - move[1]
+        if np.abs(move).max() < 1e-9:
+            break
+    return max(slope, 0.1), offset
+
+
 def _sigmoid(value: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(value, -40, 40)))
 
@@ -154,47 +227,97 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
     share of toxic labels as its score (0 without any label).
     """
     sample = stored(
-        labelled_sample(docs, labels, "toxic", max_rows).select("text", "y"), "toxicity-sample"
+        labelled_sample(docs, labels, "toxic", max_rows).select("text", "y", "fold"),
+        "toxicity-sample",
     )
-    total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
-    counts = (
-        map_arrow(sample, _count, "bucket bigint, p double, q double")
+    fitted = F.col("fold") != CALIBRATION_FOLD
+    total, toxic, fitted_total, fitted_toxic = sample.select(
+        F.count("*"),
+        F.coalesce(F.sum("y"), F.lit(0.0)),
+        F.count(F.when(fitted, 1)),
+        F.coalesce(F.sum(F.when(fitted, F.col("y"))), F.lit(0.0)),
+    ).first()
+    share = min(max(toxic / total, 1e-6), 1 - 1e-6) if total else 1e-6
+    bias, weights = float(np.log(share / (1 - share))), np.zeros(BUCKETS, np.float32)
+    if not 0 < toxic < total:
+        return ToxicityModel(weights, bias)
+    # One row per bucket, whatever the corpus.
+    found = (
+        map_arrow(sample, _count, "bucket bigint, " + ", ".join(f"{name} double" for name in _COUNTS))
         .groupBy("bucket")
-        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
-    )
-    a = SMOOTHING
-    ratio = F.log((F.col("p") + a) / (toxic + 2 * a)) - F.log(
-        (F.col("q") + a) / (total - toxic + 2 * a)
+        .agg(*(F.sum(name).alias(name) for name in _COUNTS))
+        .toArrow()
     )
-    error = F.sqrt(1 / (F.col("p") + a) + 1 / (F.col("q") + a))
-    chosen = (
-        counts.select("bucket", ratio.alias("r"), (F.abs(ratio) / error).alias("z"))
-        .where(F.col("z") >= STANDS_OUT)
-        .orderBy(F.desc("z"), "bucket")
-        .limit(MOST_FEATURES)
-        .collect()
+    counts = np.zeros((4, BUCKETS))
+    counts[:, found.column("bucket").to_numpy()] = [found.column(name).to_numpy() for name in _COUNTS]
+    # Without both kinds among the fitted folds the second model is the first, and no fold calibrates.
+    calibrated = 0 < fitted_toxic < fitted_total < total
+    if not calibrated:
+        counts[2:], fitted_total, fitted_toxic = counts[:2], total, toxic
+    sizes = np.array([[float(total)], [float(fitted_total)]])
+    shares = np.array([[toxic], [fitted_toxic]]) / sizes
+    penalty = PENALTY / np.sqrt(sizes)
+    ratios = np.stack(
+        [
+            log_ratios(*counts[:2], toxic, total - toxic),
+            log_ratios(*counts[2:], fitted_toxic, fitted_total - fitted_toxic),
+        ]
     )
+    slopes = ratios * (shares * (counts[0::2] + counts[1::2]) - counts[0::2]) / sizes
+    active = np.flatnonzero((np.abs(slopes) > penalty).any(axis=0))
+    if not len(active):
+        return ToxicityModel(weights, bias)
     index = np.full(BUCKETS, -1, np.int64)
-    ratios = np.array([row["r"] for row in chosen], float)
-    for place, row in enumerate(chosen):
-        index[row["bucket"]] = place
-    share = min(max(toxic / total, 1e-6), 1 - 1e-6) if total else 1e-6
-    bias, weights = float(np.log(share / (1 - share))), np.zeros(len(chosen))
-    out = np.zeros(BUCKETS, np.float32)
-    if not len(chosen):
-        return ToxicityModel(out, bias)
-    rows = stored(
-        map_arrow(sample, _feature_rows(index), "f array<int>, y double"), "toxicity-features"
-    ).coalesce(FIT_TASKS)
-    for _ in range(ROUNDS):
-        state, n = np.zeros(len(chosen) + 1), 0
-        fitted = map_arrow(rows, _fit_part(ratios, weights, bias), "state binary, n bigint")
-        for part in fitted.collect():
-            state += np.frombuffer(part["state"]) * part["n"]
-            n += part["n"]
-        weights, bias = state[:-1] / n, float(state[-1] / n)
-    out[[row["bucket"] for row in chosen]] = ratios * weights
-    return ToxicityModel(out, bias)
+    index[active] = np.arange(len(active))
+    ratios = ratios[:, active]
+    # The steps go in units in which frequent and rare buckets bend the loss alike to half the
+    # power; weights and penalties change with them, so the optimum stays.
+    seen = (counts[0::2] + counts[1::2])[:, active] / sizes
+    unit = np.sqrt(np.abs(ratios) * np.sqrt(seen))
+    unit[unit == 0] = 1.0
+    values = ratios / unit
+    rows = stored(map_arrow(sample, _feature_rows(index), _PACKED), "toxicity-features").coalesce(
+        FIT_TASKS
+    )
+    states = _descended(rows, values, sizes, penalty / unit, np.log(shares / (1 - shares)))
+    slope, offset = 1.0, 0.0
+    if calibrated:
+        held = _summed(rows, _held_sums(values[1], states[1]), (2, BINS))
+        centres = (np.arange(BINS) + 0.5) / BINS * 2 * SPAN - SPAN
+        slope, offset = calibration(centres, *held)
+    weights[active] = slope * values[0] * states[0, :-1]
+    return ToxicityModel(weights, float(slope * states[0, -1] + offset))
+
+
+def _descended(
+    rows: DataFrame, values: np.ndarray, sizes: np.ndarray, penalty: np.ndarray, bias: np.ndarray
+) -> np.ndarray:
+    """Weights and bias of both models after STEPS accelerated proximal steps, or fewer if settled.
+
+    Each step is one job whose tasks send one vector each; their order is that of the partitions,
+    so a run on the same files gives the same numbers.
+    """
+    shape = (2, values.shape[1] + 1)
+    states = np.ones(shape)
+    for _ in range(CURVE_PASSES):
+        states = _summed(rows, _pass(values, states, True), shape)
+        curve = np.linalg.norm(states, axis=1, keepdims=True)
+        states /= curve
+    pace = 4 * sizes / (CURVE_MARGIN * curve)
+    shrink = np.hstack([penalty * pace, np.zeros((2, 1))])
+    here = np.zeros(shape)
+    here[:, -1:] = bias
+    ahead, weight = here.copy(), 1.0
+    for _ in range(STEPS):
+        moved = ahead - pace * _summed(rows, _pass(values, ahead, False), shape) / sizes
+        there = np.sign(moved) * np.maximum(np.abs(moved) - shrink, 0)
+        next_weight = (1 + np.sqrt(1 + 4 * weight**2)) / 2
+        ahead = there + (weight - 1) / next_weight * (there - here)
+        settled = np.abs(there - here).max() < SETTLED
+        here, weight = there, next_weight
+        if settled:
+            break
+    return here
 
 
 def _scored(model: ToxicityModel):
