@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import id_remainder, labelled_sample, map_arrow, stored
+from sparkmart.llm.common import arrow_rows, id_remainder, labelled_sample, map_arrow, stored
 
 MAX_ROWS = 50_000
 SIZES = (3, 4, 5, 6)
@@ -41,6 +41,8 @@ SETTLED = 1e-5
 CURVE_PASSES = 5
 CURVE_MARGIN = 1.2
 FIT_TASKS = 8
+# Features that one packed row holds, give or take a document.
+PACKED = 250_000
 # The calibration's histogram of sums, from -SPAN to SPAN.
 BINS = 4096
 SPAN = 40.0
@@ -102,34 +104,58 @@ _COUNTS = ["p", "q", "fitted_p", "fitted_q"]
 
 
 def _feature_rows(index: np.ndarray):
-    """Batches of labelled documents as the numbers of their features, packed in one row each."""
+    """Labelled documents as the numbers of their features, several packed in one row.
+
+    The numbers rise within a document, so a row keeps the steps between them: one byte each,
+    and those that need more beside them.
+    """
     wanted = index >= 0
 
+    def packed(found: list[np.ndarray], y: list[float], held: list[bool]) -> pa.RecordBatch:
+        steps = np.diff(np.concatenate(found), prepend=0)
+        short = (steps >= 0) & (steps < _LONG_STEP)
+        parts = (
+            np.where(short, steps, _LONG_STEP).astype(np.uint8),
+            steps[~short].astype(np.int32),
+            np.array([len(one) for one in found], np.int32),
+            np.array(y, np.float64),
+            np.array(held, np.bool_),
+        )
+        arrays = [pa.array([part.tobytes()], pa.binary()) for part in parts]
+        return pa.RecordBatch.from_arrays(arrays, ["short", "long", "sizes", "y", "held"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, labels, held, total = [], [], [], 0
         for batch in batches:
-            if not len(batch):
-                continue
-            found = [index[present(text, wanted)] for text in batch.column("text").to_pylist()]
-            packed = (
-                np.concatenate(found).astype(np.int32),
-                np.array([len(one) for one in found], np.int32),
-                batch.column("y").to_numpy(zero_copy_only=False),
-                batch.column("fold").to_numpy(zero_copy_only=False) == CALIBRATION_FOLD,
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part.tobytes()], pa.binary()) for part in packed], ["f", "sizes", "y", "held"]
-            )
+            columns = [batch.column(name).to_pylist() for name in ("text", "y", "fold")]
+            for text, y, fold in zip(*columns, strict=True):
+                found.append(index[present(text, wanted)])
+                labels.append(y)
+                held.append(fold == CALIBRATION_FOLD)
+                total += len(found[-1])
+                if total >= PACKED or len(found) >= PACKED:
+                    yield packed(found, labels, held)
+                    found, labels, held, total = [], [], [], 0
+        if found:
+            yield packed(found, labels, held)
 
     return run
 
 
-_PACKED = "f binary, sizes binary, y binary, held binary"
+_PACKED_ROW = "short binary, long binary, sizes binary, y binary, held binary"
+_LONG_STEP = 255
 
 
 def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-    kinds = (np.int32, np.int32, np.float64, np.bool_)
+    """Per packed row: feature numbers, the document of each, labels, and which rows are held."""
+    kinds = (np.uint8, np.int32, np.int32, np.float64, np.bool_)
     for row in zip(*(column for column in batch.columns), strict=True):
-        yield tuple(np.frombuffer(part.as_buffer(), kind) for part, kind in zip(row, kinds, strict=True))
+        short, long, sizes, y, held = (
+            np.frombuffer(part.as_buffer(), kind) for part, kind in zip(row, kinds, strict=True)
+        )
+        steps = short.astype(np.int64)
+        steps[short == _LONG_STEP] = long
+        yield np.cumsum(steps), np.repeat(np.arange(len(y)), sizes), y, held
 
 
 def _pass(values: np.ndarray, states: np.ndarray, curve: bool):
@@ -140,8 +166,7 @@ def _pass(values: np.ndarray, states: np.ndarray, curve: bool):
         sums = np.zeros(states.shape)
         scaled = values * states[:, :-1]
         for batch in batches:
-            for f, sizes, y, held in _unpacked(batch):
-                owner = np.repeat(np.arange(len(y)), sizes)
+            for f, owner, y, held in _unpacked(batch):
                 for model in range(2):
                     value = np.bincount(owner, scaled[model][f], len(y)) + states[model, -1]
                     miss = value if curve else _sigmoid(value) - y
@@ -161,8 +186,7 @@ def _held_sums(values: np.ndarray, state: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BINS))
         for batch in batches:
-            for f, sizes, y, held in _unpacked(batch):
-                owner = np.repeat(np.arange(len(y)), sizes)
+            for f, owner, y, held in _unpacked(batch):
                 value = np.bincount(owner, (values * state[:-1])[f], len(y)) + state[-1]
                 place = ((value[held] + SPAN) / (2 * SPAN) * BINS).clip(0, BINS - 1).astype(np.int64)
                 sums += np.bincount(place, minlength=BINS), np.bincount(place, y[held], BINS)
@@ -173,7 +197,9 @@ def _held_sums(values: np.ndarray, state: np.ndarray):
 
 def _summed(rows: DataFrame, function, shape: tuple[int, int]) -> np.ndarray:
     total = np.zeros(shape)
-    for part in map_arrow(rows, function, "sums binary").collect():
+    with arrow_rows(rows.sparkSession, 8):
+        parts = map_arrow(rows, function, "sums binary").collect()
+    for part in parts:
         total += np.frombuffer(part["sums"]).reshape(shape)
     return total
 
@@ -276,7 +302,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -
     unit = np.sqrt(np.abs(ratios) * np.sqrt(seen))
     unit[unit == 0] = 1.0
     values = ratios / unit
-    rows = stored(map_arrow(sample, _feature_rows(index), _PACKED), "toxicity-features").coalesce(
+    rows = stored(map_arrow(sample, _feature_rows(index), _PACKED_ROW), "toxicity-features").coalesce(
         FIT_TASKS
     )
     states = _descended(rows, values, sizes, penalty / unit, np.log(shares / (1 - shares)))

@@ -45,7 +45,8 @@ def _dense_fit(x, y):
 
 
 def test_fit_equals_a_dense_fit(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "STEPS", 150)
+    monkeypatch.setattr(toxicity, "STEPS", 100)
+    monkeypatch.setattr(toxicity, "PACKED", 5_000)
     rows = _corpus()
     docs = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id bigint, text string")
     labels = spark.createDataFrame(
