@@ -107,16 +107,21 @@ def entries(pieces: DataFrame) -> DataFrame:
 
 
 def _joined(pieces: DataFrame) -> DataFrame:
-    """The pieces up to each end as one text; an end may be some blocks further on."""
-    inside = Window.partitionBy("file", "block").orderBy("place")
+    """The pieces up to each end as one text; an end may be some blocks further on.
+
+    What follows is looked up in falling order, so that a frame grows row by row: one that reaches
+    to the end of its partition is computed anew for each row.
+    """
+    inside = Window.partitionBy("file", "block").orderBy(F.desc("place"))
     end = F.when(F.col("_ends"), F.col("place"))
-    own = F.min(end).over(inside.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    later = Window.partitionBy("file").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    own = F.min(end).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    falling = Window.partitionBy("file").orderBy(F.desc("block"))
+    later = falling.rowsBetween(Window.unboundedPreceding, -1)
     first = F.when(F.col("_first").isNotNull(), F.struct(F.col("block").alias("at"), F.col("_first").alias("end")))
     blocks = (
         pieces.groupBy("file", "block")
         .agg(F.min(end).alias("_first"))
-        .select("file", "block", F.first(first, ignorenulls=True).over(later).alias("_next"))
+        .select("file", "block", F.last(first, ignorenulls=True).over(later).alias("_next"))
     )
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "piece")))
     return (

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import types as T
@@ -95,3 +96,12 @@ def test_broken_documents_end_the_read(spark, tmp_path, text):
     (tmp_path / "d.json").write_text(text)
     with pytest.raises(Exception, match="(?i)malformed|cannot|unexpected"):
         read_large_document(spark, str(tmp_path), RECORD).collect()
+
+
+def test_no_frame_reaches_ahead(spark, tmp_path, plan_of):
+    """Spark computes a frame that begins at a row and reaches to the end of its partition anew for
+    each row, so the time grew with the square of the pieces of a block."""
+    (tmp_path / "d.json").write_text(document(records(3, 9)))
+    plan = plan_of(read_large_document(spark, str(tmp_path), RECORD), "extended").lower()
+    assert "specifiedwindowframe(rowframe, unboundedpreceding$()" in plan
+    assert not re.search(r"specifiedwindowframe\(rowframe, (?!unboundedpreceding)[^,]*, unboundedfollowing", plan)
