@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import sparkmart
-from sparkmart.workspace import fresh_folder
+from sparkmart.workspace import fresh_folder, map_arrow, ship_code  # noqa: F401
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
@@ -25,10 +20,6 @@ SCHEMAS = {
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SPACES = b" \t\n\x0b\x0c\r"
 
-# Applications whose executors already have the package.
-_shipped: set[str] = set()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table under its declared schema, so that no file is opened to infer one."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -49,41 +40,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that functions of its
-    modules run there wherever the repository lies on the driver."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.abspath(sparkmart.__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="sparkmart-code-"), "sparkmart_code.zip")
-    with zipfile.ZipFile(archive, "w") as packed:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    packed.write(path, os.path.join("sparkmart", os.path.relpath(path, root)))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package present on the executors.
-
-    A worker process outlives its task, so memory that the task has freed is given back after it.
-    """
-    ship_code(df.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from function(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            pa.system_memory_pool().release_unused()
-
-    return df.mapInArrow(run, schema)
-
-
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Within this, jobs send ``rows`` rows at a time to Python, so whole texts take less memory

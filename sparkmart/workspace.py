@@ -1,16 +1,24 @@
-"""Where working tables go: below the folder the session names for checkpoints."""
+"""Where working tables go: below the folder the session names for checkpoints; and how functions over
+Arrow batches get to the executors."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+import sparkmart
 
 
 # Folders made for local sessions, by application.
 _local_folders: dict[str, str] = {}
+# Applications whose executors already have the package.
+_shipped: set[str] = set()
 
 
 def _temporary_folders() -> set[str]:
@@ -46,3 +54,38 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/sparkmart/{label}/{uuid.uuid4().hex}"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions of its
+    modules run there wherever the repository lies on the driver."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(sparkmart.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="sparkmart-code-"), "sparkmart_code.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.join("sparkmart", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package present on the executors.
+
+    A worker process outlives its task, so memory that the task has freed is given back after it.
+    """
+    ship_code(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

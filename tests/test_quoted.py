@@ -1,11 +1,13 @@
 """Quoted line breaks across blocks: as Spark's own reader with multiLine, with many tasks a file."""
 
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmart.sources import read_delimited, read_quoted
+from sparkmart.sources import quoted, read_delimited, read_quoted
 from sparkmart.sources.quoted import read_lines
 
 SCHEMA = T.StructType().add("id", T.LongType()).add("text", T.StringType()).add("n", T.IntegerType())
@@ -84,3 +86,35 @@ def test_a_file_of_a_header_only(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,text,n\n")
     (tmp_path / "b.csv").write_text("")
     assert read_quoted(spark, str(tmp_path), SCHEMA).collect() == []
+
+
+def test_only_the_edges_of_blocks_are_shuffled(spark, tmp_path, plan_of):
+    """All lines were shuffled twice, each with its file's path, so shuffle and spill were many times the text."""
+    write(tmp_path / "a.csv", [(k, "a\nb", k) for k in range(50)])
+    plan = plan_of(read_quoted(spark, str(tmp_path), SCHEMA))
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert shuffled and not any(re.search(r"\b(line|value)#", columns) for columns in shuffled)
+    lines = read_lines(spark, str(tmp_path))
+    placed = lines.select(
+        F.lit(1).cast("long").alias("_no"),
+        F.lit(1).cast("long").alias("_top"),
+        F.lit(0).cast("long").alias("_inside"),
+        F.col("line").cast("binary").alias("line"),
+    )
+    edges = quoted.map_arrow(placed, quoted._cut(b'"', False), quoted._CUT).collect()
+    assert [(r["part"], bytes(r["record"])) for r in edges] == [(quoted._BEGUN, b'49,"a\nb",49')]
+
+
+def test_records_over_arrow_batches(spark, tmp_path):
+    dealer = random.Random(5)
+    rows = [(k, "a" + texts(dealer), k) for k in range(400)]
+    write(tmp_path / "a.csv", rows)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for size in (1, 7):
+            spark.conf.set(name, str(size))
+            found = read_quoted(spark, str(tmp_path), SCHEMA).collect()
+            assert sorted(tuple(r) for r in found) == sorted(rows)
+    finally:
+        spark.conf.set(name, before)
