@@ -121,24 +121,21 @@ def _joined(pieces: DataFrame) -> DataFrame:
     blocks = (
         pieces.groupBy("file", "block")
         .agg(F.min(end).alias("_first"))
-        .select("file", "block", F.last(first, ignorenulls=True).over(later).alias("_next"))
+        .select("file", "block", "_first", F.last(first, ignorenulls=True).over(later).alias("_next"))
     )
+    placed = pieces.withColumn("_own", own).join(blocks, ["file", "block"])
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "piece")))
-    return (
-        pieces.withColumn("_own", own)
-        .join(blocks, ["file", "block"])
-        .groupBy(
-            "file",
-            F.coalesce(
-                F.when(
-                    F.col("_own").isNotNull(),
-                    F.struct(F.col("block").alias("at"), F.col("_own").alias("end")),
-                ),
-                F.col("_next"),
-            ).alias("_entry"),
-        )
-        .agg(F.array_join(F.transform(parts, lambda part: part["piece"]), "}").alias("text"))
-        .select("file", "text", F.col("_entry").isNotNull().alias("ended"))
+    text = F.array_join(F.transform(parts, lambda part: part["piece"]), "}").alias("text")
+    # Entries behind the first end of a block are in it as a whole, and so grouped where they are; only
+    # the pieces at the edges of a block are dealt out anew.
+    behind = F.coalesce(F.col("_own") > F.col("_first"), F.lit(False))
+    alone = placed.where(behind).groupBy("file", "block", "_own").agg(text)
+    entry = F.when(
+        F.col("_own").isNotNull(), F.struct(F.col("block").alias("at"), F.col("_own").alias("end"))
+    )
+    edges = placed.where(~behind).groupBy("file", F.coalesce(entry, F.col("_next")).alias("_entry")).agg(text)
+    return alone.select("file", "text", F.lit(True).alias("ended")).unionByName(
+        edges.select("file", "text", F.col("_entry").isNotNull().alias("ended"))
     )
 
 
